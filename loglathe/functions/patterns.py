@@ -21,7 +21,9 @@ from loglathe.functions.casts import spark_type
 
 MAX_TEMPLATE_LENGTH = 1000
 
-# The public, widely used named patterns. They must stay as published for lines to parse the same.
+# The public, widely used named patterns. They match what the published ones match, but repeat no group
+# without a bound unless it is possessive: Java recurses once per repetition of a group, and one long line could then
+# overflow the stack and take the executor with it.
 NAMED_PATTERNS: dict[str, str] = {
     # words, numbers
     "USERNAME": r"[a-zA-Z0-9._-]+",
@@ -36,7 +38,7 @@ NAMED_PATTERNS: dict[str, str] = {
     "SPACE": r"\s*",
     "DATA": r".*?",
     "GREEDYDATA": r".*",
-    "QUOTEDSTRING": r"""(?>(?<!\\)(?>"(?>\\.|[^\\"]+)+"|""|(?>'(?>\\.|[^\\']+)+')|''))""",
+    "QUOTEDSTRING": r"""(?>(?<!\\)(?>"(?>\\.|[^\\"]+)++"|""|(?>'(?>\\.|[^\\']+)++')|''))""",
     "QS": r"%{QUOTEDSTRING}",
     # network
     "IPV4": (
@@ -54,11 +56,14 @@ NAMED_PATTERNS: dict[str, str] = {
         r"|(?::(?:(?:(?::[0-9A-Fa-f]{1,4}){1,7})|(?:(?::[0-9A-Fa-f]{1,4}){0,5}:%{IPV4})|:)))(?:%.+)?"
     ),
     "IP": r"(?:%{IPV6}|%{IPV4})",
-    "HOSTNAME": r"\b(?:[0-9A-Za-z][0-9A-Za-z-]{0,62})(?:\.(?:[0-9A-Za-z][0-9A-Za-z-]{0,62}))*(?:\.?|\b)",
+    # a name has at most 127 labels
+    "HOSTNAME": r"\b(?:[0-9A-Za-z][0-9A-Za-z-]{0,62})(?:\.(?:[0-9A-Za-z][0-9A-Za-z-]{0,62})){0,126}(?:\.?|\b)",
     "IPORHOST": r"(?:%{HOSTNAME}|%{IP})",
+    # IPORHOST where a blank must follow: no label is ever given back, since none could be followed by a blank
+    "BLANKHOST": r"(?:\b[0-9A-Za-z][0-9A-Za-z-]{0,62}+(?:\.[0-9A-Za-z][0-9A-Za-z-]{0,62}+)*+(?:\.?|\b)|%{IP})",
     "URIPROTO": r"[A-Za-z]+(?:\+[A-Za-z+]+)?",
     "URIHOST": r"%{IPORHOST}(?::%{POSINT})?",
-    "URIPATH": r"(?:/[A-Za-z0-9$.+!*'(){},~:;=@#%_\-]*)+",
+    "URIPATH": r"/[A-Za-z0-9$.+!*'(){},~:;=@#%_\-/]*",
     "URIPARAM": r"\?[A-Za-z0-9$.+!*'|(){},~@#%&/=:;_?\-\[\]]*",
     "URIPATHPARAM": r"%{URIPATH}(?:%{URIPARAM})?",
     "URI": r"%{URIPROTO}://(?:%{USER}(?::[^@]*)?@)?(?:%{URIHOST})?(?:%{URIPATHPARAM})?",
@@ -88,9 +93,9 @@ NAMED_PATTERNS: dict[str, str] = {
     "SYSLOGPROG": r"%{PROG:program}(?:\[%{POSINT:pid}\])?",
     "SYSLOGHOST": r"%{IPORHOST}",
     "SYSLOGFACILITY": r"<%{NONNEGINT:facility}.%{NONNEGINT:priority}>",
-    "SYSLOGBASE": r"%{SYSLOGTIMESTAMP:timestamp} (?:%{SYSLOGFACILITY} )?%{SYSLOGHOST:logsource} %{SYSLOGPROG}:",
+    "SYSLOGBASE": r"%{SYSLOGTIMESTAMP:timestamp} (?:%{SYSLOGFACILITY} )?%{BLANKHOST:logsource} %{SYSLOGPROG}:",
     "COMMONAPACHELOG": (
-        r"%{IPORHOST:clientip} %{USER:ident} %{USER:auth} \[%{HTTPDATE:timestamp}\] "
+        r"%{BLANKHOST:clientip} %{USER:ident} %{USER:auth} \[%{HTTPDATE:timestamp}\] "
         r'"(?:%{WORD:verb} %{NOTSPACE:request}(?: HTTP/%{NUMBER:httpversion})?|%{DATA:rawrequest})" '
         r"%{NUMBER:response} (?:%{NUMBER:bytes}|-)"
     ),
