@@ -17,14 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loglathe.functions.casts import cast_as
+from loglathe.functions.casts import spark_type
 from loglathe.functions.patterns import CompiledPattern, compile_pattern
 from loglathe.functions.text import MAX_LINE_LENGTH, is_blank, is_oversize
 from loglathe.plans.formats import FORMATS, LogFormat, log_format
 
 OK, BLANK, TOO_LONG, NO_MATCH, BAD_JSON = "OK", "BLANK", "TOO_LONG", "NO_MATCH", "BAD_JSON"
 
-_MARK = "\u0001"
+_MARK, _FENCE = "\u0001", "\u0002"
 _PARTS = "__parts"
 _JSON = "__json"
 _CORRUPT = "__corrupt"
@@ -35,17 +35,17 @@ def match_parts(line: Column, pattern: CompiledPattern) -> Column:
     """Array ``['', group 1, .., group N]`` on a match, any one-element array otherwise.
 
     One ``regexp_replace`` rewrites a matching line to its groups, each behind a mark, and ``split`` cuts them apart,
-    so a line is matched once however many fields it has.  The pattern may match anywhere in the line.  A line that
-    already holds the mark cannot be cut safely; such a line takes the slower per-group extraction.
+    so a line is matched once however many fields it has.  The pattern may match anywhere in the line.  The mark is one
+    control character; a line that holds it gets a mark of its own instead, longer than the line and so not part of it.
     """
-    numbers = [g for c in pattern.captures for g in c.groups]
+    groups = [f"${g}" for c in pattern.captures for g in c.groups]
     search = f"^(?s:.*?)(?:{pattern.regex})(?s:.*)$"
-    rewritten = F.regexp_replace(line, search, "".join(f"{_MARK}${g}" for g in numbers))
-    per_group = F.when(
-        line.rlike(pattern.regex),
-        F.array(F.lit(""), *[F.regexp_extract(line, pattern.regex, g) for g in numbers]),
-    ).otherwise(F.array(F.lit("")))
-    return F.when(F.contains(line, F.lit(_MARK)), per_group).otherwise(F.split(rewritten, _MARK, -1))
+    taken = F.contains(line, F.lit(_MARK))
+    own_mark = F.concat(F.lit(_FENCE), F.repeat(F.lit(_MARK), F.length(line) + 1), F.lit(_FENCE))
+    own_layout = F.concat_ws("", *[x for g in groups for x in (own_mark, F.lit(g))])
+    mark = F.when(taken, own_mark).otherwise(F.lit(_MARK))
+    layout = F.when(taken, own_layout).otherwise(F.lit("".join(_MARK + g for g in groups)))
+    return F.split(F.regexp_replace(line, F.lit(search), layout), mark, -1)
 
 
 def _guarded_parts(line: Column, pattern: CompiledPattern, max_length: int) -> Column:
@@ -53,23 +53,37 @@ def _guarded_parts(line: Column, pattern: CompiledPattern, max_length: int) -> C
     return F.when(~is_blank(line) & ~is_oversize(line, max_length), match_parts(line, pattern))
 
 
-def _field_columns(parts: Column, pattern: CompiledPattern, typed: bool = False) -> list[Column]:
-    """One column per field, a string unless ``typed`` and declared otherwise.
+def _field_texts(pattern: CompiledPattern, typed: bool = False) -> dict[str, str]:
+    """SQL text of each field, read from the parts column; a string unless ``typed`` and declared otherwise.
 
     ``''`` of a group that took no part in the match becomes null.
     """
-    out, position = [], 1
+    out, position = {}, 1
     for capture in pattern.captures:
         values = []
         for _ in capture.groups:
-            value = F.get(parts, position)
-            values.append(F.nullif(value, F.lit("")) if capture.optional else value)
+            value = f"get({_PARTS}, {position})"
+            values.append(f"nullif({value}, '')" if capture.optional else value)
             position += 1
-        text = values[0] if len(values) == 1 else F.coalesce(*values)
-        out.append((cast_as(text, capture.type_name) if typed and capture.type_name else text).alias(capture.name))
+        text = values[0] if len(values) == 1 else f"coalesce({', '.join(values)})"
+        if typed and capture.type_name:
+            text = f"try_cast({text} AS {spark_type(capture.type_name).simpleString()})"
+        out[capture.name] = text
     return out
 
 
+def _fields_struct(pattern: CompiledPattern) -> Column:
+    cells = _field_texts(pattern, typed=True)
+    return F.expr("named_struct(" + ", ".join(f"'{name}', {text}" for name, text in cells.items()) + ")")
+
+
+def _fields_map(pattern: CompiledPattern) -> str:
+    """SQL text of a map of all fields, absent ones with null."""
+    cells = _field_texts(pattern)
+    names = ", ".join(f"'{name}'" for name in cells)
+    return f"map_from_arrays(array({names}), array({', '.join(cells.values())}))"
+
+
 def _status(line: Column, parts: Column, pattern: CompiledPattern) -> Column:
     width = 1 + sum(len(c.groups) for c in pattern.captures)
     return (
@@ -102,7 +116,7 @@ def grok(
     line, parts = F.col(col), F.col(_PARTS)
     return (
         _evaluate_once(df, _guarded_parts(line, compiled, max_length), _PARTS)
-        .withColumns({"status": _status(line, parts, compiled), "fields": F.struct(*_field_columns(parts, compiled, typed=True))})
+        .withColumns({"status": _status(line, parts, compiled), "fields": _fields_struct(compiled)})
         .drop(_PARTS)
     )
 
@@ -159,12 +173,8 @@ def parse_multi_format(
         branch = F.when(kind == name, value) if branch is None else branch.when(kind == name, value)
     guarded = F.when(~is_blank(line) & ~is_oversize(line, max_length), branch.otherwise(F.array(F.lit(""))))
 
-    pairs = None
-    for name, pattern in compiled.items():
-        names = F.array(*[F.lit(n) for n in pattern.names])
-        entries = F.map_from_arrays(names, F.array(*_field_columns(parts, pattern)))
-        hit = (kind == name) & (F.size(parts) > 1)
-        pairs = F.when(hit, entries) if pairs is None else pairs.when(hit, entries)
+    cases = " ".join(f"WHEN '{name}' THEN {_fields_map(pattern)}" for name, pattern in compiled.items())
+    pairs = F.expr(f"CASE WHEN size({_PARTS}) > 1 THEN CASE `{type_col}` {cases} END END")
     status = (
         F.when(F.size(parts) > 1, F.lit(OK))
         .when(parts.isNotNull(), F.lit(NO_MATCH))

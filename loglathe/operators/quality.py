@@ -172,20 +172,28 @@ def error_counts(
 
 
 def pattern_quarantine(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], ok: Column, threshold: int = QUARANTINE_STREAK
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str],
+    ok: Column,
+    threshold: int = QUARANTINE_STREAK,
+    stage: str | None = None,
 ) -> DataFrame:
     """Longest and current run of failures in a row per group; more than ``threshold`` in a row means quarantine.
 
     A run is a property of the order, but no group has to sit in one task for it.  The rows are range-partitioned by
     (group, order), which cuts a large group into even chunks; each chunk is reduced to four numbers; and runs that
     cross chunk borders are joined from those, of which there are at most as many as partitions and groups together.
+
+    Range partitioning reads its input twice, once to find the borders.  ``stage`` names a folder to write the few
+    needed columns to first, so that lines are not parsed twice.
     """
     chunk, n_ok = "__chunk", "__n_ok"
-    ranged = (
-        df.select(*by, *order, ok.cast("int").alias("__ok"))
-        .repartitionByRange(*by, *order)
-        .withColumn(chunk, F.spark_partition_id())
-    )
+    slim = df.select(*by, *order, ok.cast("int").alias("__ok"))
+    if stage is not None:
+        slim.write.parquet(stage)
+        slim = df.sparkSession.read.schema(slim.schema).parquet(stage)
+    ranged = slim.repartitionByRange(*by, *order).withColumn(chunk, F.spark_partition_id())
     so_far = Window.partitionBy(*by, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     runs = (
         ranged.withColumn(n_ok, F.sum("__ok").over(so_far))

@@ -95,9 +95,7 @@ class Flow:
         """Write one batch; then copy its rejects, which by now are a small table of their own, to the text store."""
         write_outcomes(outcomes, root, batch, layout=self.layout, distribution=self.distribution)
         if reject_path is not None:
-            spark = outcomes.sparkSession
-            schema = T.StructType([*REJECT_SCHEMA.fields, T.StructField("batch", T.LongType())])
-            mine = read_outcomes(spark, root, schema, REJECT).where(F.col("batch") == batch)
+            mine = read_outcomes(outcomes.sparkSession, root, REJECT_SCHEMA, REJECT, batch)
             write_reject_text(mine, reject_path, batch)
 
     def good_table(self, spark: SparkSession, root: str) -> DataFrame:

@@ -18,6 +18,7 @@ from loglathe.operators.quality import (
 from loglathe.registry.core import query
 from loglathe.registry.lines_sql import parsed_cte
 from loglathe.registry.parsing import lines
+from loglathe.session import scratch_dir
 from loglathe.sources.event_lines import read_events
 
 NOW = "2024-01-31 00:02:00"
@@ -177,7 +178,8 @@ def _streak_sql(source: str, by: str, threshold: int) -> str:
 def _pattern_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse_lines(lines(spark, sf_dir, "loglevel"), "loglevel").where(F.col("status") != BLANK)
     rows = parsed.select(F.col("event_type").alias("source"), "ts", "event_id", "status")
-    return pattern_quarantine(rows, ["source"], ["ts", "event_id"], F.col("status") == OK)
+    stage = scratch_dir(spark, "outcome-order")
+    return pattern_quarantine(rows, ["source"], ["ts", "event_id"], F.col("status") == OK, stage=stage)
 
 
 @query(

@@ -16,6 +16,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # recording the Python call site of every expression costs more than building the plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,9 +135,13 @@ def write_outcomes(
     )
 
 
-def read_outcomes(spark: SparkSession, root: str, schema: T.StructType, outcome: str) -> DataFrame:
-    """One kind of outcome; reads only its folder. ``schema`` lists the wanted columns, ``event_date``/``batch`` too."""
-    names = {f.name for f in schema.fields}
+def read_outcomes(
+    spark: SparkSession, root: str, schema: T.StructType, outcome: str, batch: int | None = None
+) -> DataFrame:
+    """One kind of outcome, of all batches or of one; only those folders are listed and read.
+
+    ``schema`` holds the wanted columns, ``event_date`` and ``batch`` too if wanted.
+    """
     full = T.StructType(
         [
             *[f for f in schema.fields if f.name not in ("event_date", "batch")],
@@ -145,5 +150,11 @@ def read_outcomes(spark: SparkSession, root: str, schema: T.StructType, outcome:
             T.StructField("batch", T.LongType()),
         ]
     )
-    rows = spark.read.schema(full).parquet(root).where(F.col("outcome") == outcome)
-    return rows.select(*[f.name for f in schema.fields if f.name in names])
+    folder = f"{root}/outcome={outcome}" + ("" if batch is None else f"/event_date=*/batch={batch}")
+    try:
+        rows = spark.read.schema(full).option("basePath", root).parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], full)  # no such outcome so far
+    return rows.select(*schema.names)

@@ -6,84 +6,81 @@ the lines is disturbed: 2 % blank, 5 % malformed, 0.1 % longer than the length l
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from loglathe.functions.text import MAX_LINE_LENGTH
 
 
+EVENTS_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
-
-
-def _level() -> Column:
-    kind = F.col("event_type")
-    return F.when(kind == "error", "ERROR").when(kind == "purchase", "WARN").otherwise("INFO")
-
-
-def _iso(suffix: str = "'Z'") -> Column:
-    return F.date_format("ts", f"yyyy-MM-dd'T'HH:mm:ss.SSS{suffix}")
-
-
-def _render(fmt: str) -> Column:
-    event_id, user_id = F.col("event_id").cast("string"), F.col("user_id").cast("string")
-    kind, props = F.col("event_type"), F.col("props")
-    if fmt in ("application", "loglevel"):
-        return F.concat_ws(" ", _iso(), _level(), kind, F.lit("by user"), user_id, props)
-    if fmt in ("access", "access_combined"):
-        code = F.when(kind == "error", "500").otherwise("200")
-        size = F.when(F.col("event_id") % 10 == 0, "-").otherwise((F.col("user_id") * 7).cast("string"))
-        tail = F.when(F.col("event_id") % 2 == 0, ' "-" "agent/1.0"').otherwise("")
-        return F.concat(
-            F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit(".1 - - ["),
-            F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), F.lit(' +0000] "GET /'), kind, F.lit("/"), event_id,
-            F.lit(' HTTP/1.1" '), code, F.lit(" "), size, tail,
-        )
-    if fmt == "syslog":
-        pid = F.when(F.col("event_id") % 3 == 0, "").otherwise(F.concat(F.lit("["), event_id, F.lit("]")))
-        return F.concat(
-            F.date_format("ts", "MMM dd HH:mm:ss"), F.lit(" host"), (F.col("user_id") % 5).cast("string"),
-            F.lit(" app"), pid, F.lit(": "), kind, F.lit(" "), props,
-        )
-    if fmt == "nginx_error":
-        level = F.when(kind == "error", "error").when(kind == "purchase", "warn").otherwise("info")
-        return F.concat(
-            F.date_format("ts", "yyyy/MM/dd HH:mm:ss"), F.lit(" ["), level, F.lit("] "), event_id, F.lit("#0: *1 "), kind
-        )
-    if fmt == "custom_app":
-        return F.concat(
-            F.lit("["), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"), F.lit("] ["), _level(), F.lit("] ["), kind,
-            F.lit("Service] user "), user_id,
-        )
-    if fmt == "json":
-        return F.concat(
-            F.lit('{"timestamp":"'), _iso(), F.lit('","level":"'), _level(), F.lit('","service":"'), kind,
-            F.lit('","message":"user '), user_id, F.lit('"}'),
-        )
-    raise ValueError(f"No rendering for format: {fmt}")
-
-
-def _disturb(line: Column) -> Column:
-    n = F.col("event_id")
+    """The events table; its schema is known, so no file is opened to find it."""
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+
+
+_LEVEL = "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARN' ELSE 'INFO' END"
+_ISO = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")"
+_APPLICATION = f"concat_ws(' ', {_ISO}, {_LEVEL}, event_type, 'by user', string(user_id), props)"
+_ACCESS = (
+    "concat('10.0.', user_id % 256, '.1 - - [', date_format(ts, 'dd/MMM/yyyy:HH:mm:ss'), ' +0000] \"GET /', event_type,"
+    " '/', event_id, ' HTTP/1.1\" ', if(event_type = 'error', '500', '200'), ' ',"
+    " if(event_id % 10 = 0, '-', string(user_id * 7)), if(event_id % 2 = 0, ' \"-\" \"agent/1.0\"', ''))"
+)
+
+# format -> the line of an event, as a SQL expression
+LINES: dict[str, str] = {
+    "application": _APPLICATION,
+    "loglevel": _APPLICATION,
+    "access": _ACCESS,
+    "access_combined": _ACCESS,
+    "syslog": (
+        "concat(date_format(ts, 'MMM dd HH:mm:ss'), ' host', user_id % 5, ' app',"
+        " if(event_id % 3 = 0, '', concat('[', event_id, ']')), ': ', event_type, ' ', props)"
+    ),
+    "nginx_error": (
+        "concat(date_format(ts, 'yyyy/MM/dd HH:mm:ss'), ' [', CASE event_type WHEN 'error' THEN 'error'"
+        " WHEN 'purchase' THEN 'warn' ELSE 'info' END, '] ', event_id, '#0: *1 ', event_type)"
+    ),
+    "custom_app": (
+        f"concat('[', date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSS'), '] [', {_LEVEL}, '] [', event_type,"
+        " 'Service] user ', user_id)"
+    ),
+    "json": (
+        f"concat('{{\"timestamp\":\"', {_ISO}, '\",\"level\":\"', {_LEVEL}, '\",\"service\":\"', event_type,"
+        " '\",\"message\":\"user ', user_id, '\"}')"
+    ),
+}
+
+
+def _disturbed(fmt: str) -> str:
+    if fmt not in LINES:
+        raise ValueError(f"No rendering for format: {fmt}")
+    line = LINES[fmt]
     return (
-        F.when(n % 50 == 3, F.lit("   "))
-        .when(n % 20 == 7, F.concat(F.lit("malformed line "), n.cast("string")))
-        .when(n % 1000 == 11, F.concat(line, F.repeat(F.lit("x"), F.lit(MAX_LINE_LENGTH))))
-        .otherwise(line)
+        "CASE WHEN event_id % 50 = 3 THEN '   ' WHEN event_id % 20 = 7 THEN concat('malformed line ', event_id)"
+        f" WHEN event_id % 1000 = 11 THEN concat({line}, repeat('x', {MAX_LINE_LENGTH})) ELSE {line} END"
     )
 
 
 def event_lines(events: DataFrame, fmt: str = "application") -> DataFrame:
     """``event_id, ts, event_type, user_id, value``, where ``value`` is the log line of the event."""
-    return events.select("event_id", "ts", "event_type", "user_id", _disturb(_render(fmt)).alias("value"))
+    return events.selectExpr("event_id", "ts", "event_type", "user_id", f"{_disturbed(fmt)} AS value")
 
 
 def mixed_lines(events: DataFrame, formats: list[str]) -> DataFrame:
     """``event_id, ts, log_type, value``: each event as a line of one of ``formats``, in turn by event id."""
-    turn = F.col("event_id") % len(formats)
-    kind, value = None, None
-    for i, fmt in enumerate(formats):
-        line = _disturb(_render(fmt))
-        kind = F.when(turn == i, F.lit(fmt)) if kind is None else kind.when(turn == i, F.lit(fmt))
-        value = F.when(turn == i, line) if value is None else value.when(turn == i, line)
-    return events.select("event_id", "ts", kind.alias("log_type"), value.alias("value"))
+    turn = f"event_id % {len(formats)}"
+    kinds = " ".join(f"WHEN {i} THEN '{fmt}'" for i, fmt in enumerate(formats))
+    values = " ".join(f"WHEN {i} THEN {_disturbed(fmt)}" for i, fmt in enumerate(formats))
+    return events.selectExpr("event_id", "ts", f"CASE {turn} {kinds} END AS log_type", f"CASE {turn} {values} END AS value")
