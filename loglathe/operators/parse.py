@@ -11,7 +11,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,31 +26,38 @@ OK, BLANK, TOO_LONG, NO_MATCH, BAD_JSON = "OK", "BLANK", "TOO_LONG", "NO_MATCH",
 
 _MARK, _FENCE = "\u0001", "\u0002"
 _PARTS = "__parts"
+_MARKS = "__mark"
 _JSON = "__json"
 _CORRUPT = "__corrupt"
 _LOG_TYPE = re.compile(r"[a-zA-Z0-9_-]{1,50}")
 
 
-def match_parts(line: Column, pattern: CompiledPattern) -> Column:
-    """Array ``['', group 1, .., group N]`` on a match, any one-element array otherwise.
+def _own_mark(line: Column) -> Column:
+    """What separates the groups of a line: one control character, or, for a line that holds it, a run of them that is
+    longer than the line and so not part of it."""
+    run = F.concat(F.lit(_FENCE), F.repeat(F.lit(_MARK), F.length(line) + 1), F.lit(_FENCE))
+    return F.when(F.contains(line, F.lit(_MARK)), run).otherwise(F.lit(_MARK))
 
-    One ``regexp_replace`` rewrites a matching line to its groups, each behind a mark, and ``split`` cuts them apart,
-    so a line is matched once however many fields it has.  The pattern may match anywhere in the line.  The mark is one
-    control character; a line that holds it gets a mark of its own instead, longer than the line and so not part of it.
+
+def _rewritten(line: Column, pattern: CompiledPattern, mark: Column) -> Column:
+    """A matching line rewritten to its groups, each behind a mark; any other line as it is.
+
+    The pattern may match anywhere in the line, and it is matched once however many fields it has.
     """
-    groups = [f"${g}" for c in pattern.captures for g in c.groups]
-    search = f"^(?s:.*?)(?:{pattern.regex})(?s:.*)$"
-    taken = F.contains(line, F.lit(_MARK))
-    own_mark = F.concat(F.lit(_FENCE), F.repeat(F.lit(_MARK), F.length(line) + 1), F.lit(_FENCE))
-    own_layout = F.concat_ws("", *[x for g in groups for x in (own_mark, F.lit(g))])
-    mark = F.when(taken, own_mark).otherwise(F.lit(_MARK))
-    layout = F.when(taken, own_layout).otherwise(F.lit("".join(_MARK + g for g in groups)))
-    return F.split(F.regexp_replace(line, F.lit(search), layout), mark, -1)
+    search = F.lit(f"^(?s:.*?)(?:{pattern.regex})(?s:.*)$")
+    layout = F.lit("".join(f"{_MARK}${g}" for c in pattern.captures for g in c.groups))
+    own_layout = F.replace(layout, F.lit(_MARK), mark)
+    return F.regexp_replace(line, search, F.when(mark == _MARK, layout).otherwise(own_layout))
 
 
-def _guarded_parts(line: Column, pattern: CompiledPattern, max_length: int) -> Column:
-    """Parts of a line worth matching; null for blank and oversize lines, which never reach the regex."""
-    return F.when(~is_blank(line) & ~is_oversize(line, max_length), match_parts(line, pattern))
+def _with_parts(df: DataFrame, line: Column, rewrite: Callable[[Column], Column], max_length: int) -> DataFrame:
+    """Add the parts column: ``['', group 1, .., group N]`` on a match and a one-element array on a miss.
+
+    It is null for blank and oversize lines, which never reach the regex.
+    """
+    mark = F.col(_MARKS)
+    parts = F.when(~is_blank(line) & ~is_oversize(line, max_length), F.split(rewrite(mark), mark, -1))
+    return _evaluate_once(df.withColumn(_MARKS, _own_mark(line)), parts, _PARTS).drop(_MARKS)
 
 
 def _field_texts(pattern: CompiledPattern, typed: bool = False) -> dict[str, str]:
@@ -79,9 +86,16 @@ def _fields_struct(pattern: CompiledPattern) -> Column:
 
 def _fields_map(pattern: CompiledPattern) -> str:
     """SQL text of a map of all fields, absent ones with null."""
-    cells = _field_texts(pattern)
-    names = ", ".join(f"'{name}'" for name in cells)
-    return f"map_from_arrays(array({names}), array({', '.join(cells.values())}))"
+    names = ", ".join(f"'{c.name}'" for c in pattern.captures)
+    if any(len(c.groups) > 1 for c in pattern.captures):
+        values = f"array({', '.join(_field_texts(pattern).values())})"
+    else:
+        # array functions, since a line of code per field and format would grow past what the JVM compiles
+        values = f"slice({_PARTS}, 2, {len(pattern.captures)})"
+        if any(c.optional for c in pattern.captures):
+            flags = ", ".join(str(c.optional).lower() for c in pattern.captures)
+            values = f"zip_with({values}, array({flags}), (v, o) -> if(o AND v = '', null, v))"
+    return f"map_from_arrays(array({names}), {values})"
 
 
 def _status(line: Column, parts: Column, pattern: CompiledPattern) -> Column:
@@ -115,7 +129,7 @@ def grok(
     compiled = compile_pattern(pattern, dict(custom or {}))
     line, parts = F.col(col), F.col(_PARTS)
     return (
-        _evaluate_once(df, _guarded_parts(line, compiled, max_length), _PARTS)
+        _with_parts(df, line, lambda mark: _rewritten(line, compiled, mark), max_length)
         .withColumns({"status": _status(line, parts, compiled), "fields": _fields_struct(compiled)})
         .drop(_PARTS)
     )
@@ -164,14 +178,16 @@ def parse_multi_format(
     ``fields`` is a ``map<string,string>`` holding the captured fields of the line's own format (absent fields are not
     in the map).  Lines of a type without a pattern are ``NO_MATCH``.  Only the branch of its own type runs for a line.
     """
+    if not formats:
+        raise ValueError("No formats given")
     compiled = {check_log_type(name): pattern_of(f) for name, f in formats.items()}
     line, kind, parts = F.col(col), F.col(type_col), F.col(_PARTS)
 
-    branch = None
-    for name, pattern in compiled.items():
-        value = match_parts(line, pattern)
-        branch = F.when(kind == name, value) if branch is None else branch.when(kind == name, value)
-    guarded = F.when(~is_blank(line) & ~is_oversize(line, max_length), branch.otherwise(F.array(F.lit(""))))
+    def rewrite(mark: Column) -> Column:
+        branch = F
+        for name, pattern in compiled.items():
+            branch = branch.when(kind == name, _rewritten(line, pattern, mark))
+        return branch.otherwise(F.lit(""))
 
     cases = " ".join(f"WHEN '{name}' THEN {_fields_map(pattern)}" for name, pattern in compiled.items())
     pairs = F.expr(f"CASE WHEN size({_PARTS}) > 1 THEN CASE `{type_col}` {cases} END END")
@@ -183,7 +199,7 @@ def parse_multi_format(
     )
     present = F.map_filter(pairs, lambda _, v: v.isNotNull())
     return (
-        _evaluate_once(df, guarded, _PARTS)
+        _with_parts(df, line, rewrite, max_length)
         .withColumns({"status": status, "fields": present})
         .drop(_PARTS)
     )

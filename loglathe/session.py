@@ -16,6 +16,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # the JVM does not compile larger methods; beyond it Spark generates several small ones instead of one
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # recording the Python call site of every expression costs more than building the plan
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.dataFrameQueryContext.enabled": "false",

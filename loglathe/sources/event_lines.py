@@ -66,10 +66,9 @@ LINES: dict[str, str] = {
 def _disturbed(fmt: str) -> str:
     if fmt not in LINES:
         raise ValueError(f"No rendering for format: {fmt}")
-    line = LINES[fmt]
     return (
         "CASE WHEN event_id % 50 = 3 THEN '   ' WHEN event_id % 20 = 7 THEN concat('malformed line ', event_id)"
-        f" WHEN event_id % 1000 = 11 THEN concat({line}, repeat('x', {MAX_LINE_LENGTH})) ELSE {line} END"
+        f" ELSE concat({LINES[fmt]}, if(event_id % 1000 = 11, repeat('x', {MAX_LINE_LENGTH}), '')) END"
     )
 
 
