@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from loglathe.functions.casts import cast_as, spark_type, string_field
 from loglathe.functions.text import mask_from, mask_json_values
 from loglathe.operators.parse import OK
-from loglathe.plans.formats import LogFormat, log_format
+from loglathe.plans.formats import FORMATS, LogFormat, log_format
 
 EVENT_DATE = "event_date"
 DATE_PATTERN = "yyyy-MM-dd"
@@ -97,6 +97,35 @@ def row_columns(
     return out
 
 
+def mixed_row_columns(
+    formats: Mapping[str, str | LogFormat],
+    *,
+    type_col: str = "log_type",
+    columns: Sequence[str] | None = None,
+    event_date_from: str | None = None,
+    year: int | None = None,
+) -> dict[str, Column]:
+    """Row cells for lines of several formats, whose ``fields`` are a map.
+
+    The log type comes first, then the wanted ``columns`` as strings (``''`` where a format has no such field), or the
+    whole map as ``fields`` when no columns are named.  The date is read the way each format writes it.
+    """
+    found, kind = F.col("fields"), F.col(type_col)
+    out: dict[str, Column] = {"log_type": string_field(kind)}
+    if columns is None:
+        out["fields"] = found
+    else:
+        out.update({name: string_field(found[name]) for name in columns})
+    date = processing_date()
+    if event_date_from is not None:
+        known = {n: f for n, f in formats.items() if isinstance(f, LogFormat) or f in FORMATS}
+        date = F.coalesce(
+            *[F.when(kind == n, event_date(found[event_date_from], f, year)) for n, f in known.items()], date
+        )
+    out[EVENT_DATE] = date
+    return out
+
+
 def shape_rows(parsed: DataFrame, fmt: str | LogFormat, *, keep: Sequence[str] = (), **options) -> DataFrame:
     """Good lines as table rows, columns by name, partition date last. Options as in ``row_columns``."""
     cells = row_columns(parsed, fmt, **options)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -9,14 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loglathe.functions.text import MAX_LINE_LENGTH
-from loglathe.operators.parse import BLANK, OK, TOO_LONG, check_log_type, parse_lines
+from loglathe.operators.parse import (
+    BLANK,
+    OK,
+    TOO_LONG,
+    check_log_type,
+    parse_lines,
+    parse_multi_format,
+    pattern_of,
+)
 from loglathe.operators.quality import counter_columns
 from loglathe.operators.route import reject_columns
-from loglathe.operators.shape import EVENT_DATE, processing_date, row_columns
+from loglathe.operators.shape import EVENT_DATE, mixed_row_columns, processing_date, row_columns
 from loglathe.plans.formats import LogFormat, log_format
 from loglathe.sinks.rejects import write_reject_text
 from loglathe.sinks.tables import GOOD, REJECT, Layout, read_outcomes, write_outcomes
-from loglathe.sources.files import scan_lines
+from loglathe.sources.files import log_type_from_path, scan_lines
 
 REJECT_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("rejected_at", "error_class", "error_type", "error_message", "record")]
@@ -25,9 +34,13 @@ REJECT_SCHEMA = T.StructType(
 
 @dataclass(frozen=True)
 class Flow:
-    """What to do with the lines of one log type."""
+    """What to do with the lines of one log type, or of several at once.
+
+    ``fmt`` is a format or, for several log types, ``{log type: format, preset name or template}``.  The type of a line is
+    then its ``log_type`` column, or follows from ``type_paths``, ``{log type: part of the file path}``.
+    """
 
-    fmt: str | LogFormat
+    fmt: str | LogFormat | Mapping[str, str | LogFormat]
     log_type: str = "generic"
     columns: tuple[str, ...] | None = None
     types: dict[str, str] = field(default_factory=dict)
@@ -39,17 +52,37 @@ class Flow:
     oversize: str = "reject"  # or "drop"
     layout: Layout = Layout()
     distribution: str = "none"
+    type_paths: dict[str, str] = field(default_factory=dict)
+
+    @property
+    def mixed(self) -> bool:
+        return isinstance(self.fmt, Mapping)
 
     def __post_init__(self) -> None:
         check_log_type(self.log_type)
-        log_format(self.fmt)
+        if self.mixed:
+            for name, fmt in self.fmt.items():
+                check_log_type(name)
+                pattern_of(fmt)
+            if self.types or self.mask or self.mask_json:
+                raise ValueError("Types and masks apply to flows of one format")
+        else:
+            log_format(self.fmt)
         if self.oversize not in ("reject", "drop"):
             raise ValueError(f"Unknown oversize rule: {self.oversize}")
 
     def parse(self, lines: DataFrame) -> DataFrame:
-        return parse_lines(lines, self.fmt, max_length=self.max_length)
+        if not self.mixed:
+            return parse_lines(lines, self.fmt, max_length=self.max_length)
+        if self.type_paths:
+            lines = lines.withColumn("log_type", log_type_from_path(self.type_paths))
+        return parse_multi_format(lines, self.fmt, max_length=self.max_length)
 
     def cells(self, parsed: DataFrame) -> dict[str, Column]:
+        if self.mixed:
+            return mixed_row_columns(
+                self.fmt, columns=self.columns, event_date_from=self.event_date_from, year=self.year
+            )
         return row_columns(
             parsed,
             self.fmt,
@@ -82,7 +115,7 @@ class Flow:
 
     def good_schema(self, spark: SparkSession) -> T.StructType:
         """Columns of the good table, in order, partition date last. All are required; a typed field may be null."""
-        empty = self.parse(spark.createDataFrame([], "value string"))
+        empty = self.parse(spark.createDataFrame([], "value string, file_path string, log_type string"))
         cells = self.cells(empty)
         shaped = empty.select(*[c.alias(n) for n, c in cells.items()]).schema
         return T.StructType(

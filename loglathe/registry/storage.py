@@ -12,11 +12,11 @@ from loglathe.operators.shape import GENERIC_COLUMNS, generic_schema, shape_rows
 from loglathe.plans.flow import Flow, run_batch
 from loglathe.registry.core import query
 from loglathe.registry.lines_sql import parsed_cte
-from loglathe.registry.parsing import lines
+from loglathe.registry.parsing import MULTI, lines
 from loglathe.session import scratch_dir
 from loglathe.sinks.rejects import read_reject_text, write_reject_text
 from loglathe.sinks.tables import append_table, ensure_table
-from loglathe.sources.event_lines import read_events
+from loglathe.sources.event_lines import mixed_lines, read_events
 from loglathe.sources.files import scan_lines
 from loglathe.streaming.runner import run_stream, stream_rates
 
@@ -62,6 +62,37 @@ def _store_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _FLOW.reject_table(spark, root).drop("rejected_at")
 
 
+_MIXED_ROWS = {
+    "application": ("f.message", "f.level", "strftime(ts, '%Y-%m-%d')"),
+    "access": ("''", "''", "strftime(ts, '%Y-%m-%d')"),
+    "syslog": ("f.message", "''", "strftime(ts, '%Y-%m-%d')"),
+    "nginx_error": ("f.message", "f.level", "strftime(ts, '%Y-%m-%d')"),
+    "custom_app": ("f.message", "f.level", "strftime(ts, '%Y-%m-%d')"),
+}
+
+
+def _mixed_sql() -> str:
+    parts = []
+    for i, (fmt, (message, level, day)) in enumerate(_MIXED_ROWS.items()):
+        parts.append(
+            f"SELECT '{fmt}' AS log_type, f.timestamp AS \"timestamp\", {message} AS message, {level} AS level,"
+            f" {day} AS event_date FROM (WITH {parsed_cte(fmt)} SELECT * FROM parsed) WHERE status = 'OK'"
+            f" AND event_id % {len(_MIXED_ROWS)} = {i}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query("store_mixed", _mixed_sql())
+def _store_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of five formats through one flow into one table."""
+    flow = Flow(
+        {name: name for name in MULTI}, columns=("timestamp", "message", "level"), event_date_from="timestamp", year=2024
+    )
+    root = scratch_dir(spark, "outcomes")
+    run_batch(spark, mixed_lines(read_events(spark, sf_dir), list(MULTI)), flow, root)
+    return flow.good_table(spark, root)
+
+
 @query(
     "reject_text",
     f"WITH {parsed_cte('syslog')} SELECT CAST(epoch_us(ts) // 1000 AS VARCHAR) AS rejected_at, value FROM parsed"

@@ -130,8 +130,36 @@ def test_masks_and_types_in_a_flow(spark, folder):
     assert tuple(row) == (42, '{"vuid":"abc***"}', "2024" + "*" * 16, "2024-01-15")
 
 
+def test_several_log_types_told_apart_by_path(spark, folder):
+    for kind, line in {
+        "app": "2024-01-15T10:30:00Z INFO hello",
+        "web": '127.0.0.1 - - [16/Jan/2024:10:30:00 +0000] "GET / HTTP/1.1" 200 -',
+        "own": "id=7",
+    }.items():
+        os.makedirs(f"{folder}/in/{kind}")
+        with open(f"{folder}/in/{kind}/x.log", "w") as f:
+            f.write(line + "\nbad\n")
+    flow = Flow(
+        {"app": "application", "web": "access", "own": "id=%{INT:id}"},
+        event_date_from="timestamp",
+        type_paths={"app": "/app/", "web": "/web/", "own": "/own/"},
+    )
+    run_batch(spark, f"{folder}/in", flow, f"{folder}/out")
+    rows = {r["log_type"]: r for r in flow.good_table(spark, f"{folder}/out").collect()}
+    assert rows["app"]["fields"]["message"] == "hello" and rows["app"]["event_date"] == "2024-01-15"
+    assert rows["web"]["fields"]["verb"] == "GET" and rows["web"]["event_date"] == "2024-01-16"
+    assert rows["own"]["fields"] == {"id": "7"}
+    assert flow.reject_table(spark, f"{folder}/out").count() == 3
+
+
 def test_flow_checks_its_arguments():
-    for bad in ({"fmt": "nope"}, {"fmt": "access", "log_type": "a b"}, {"fmt": "access", "oversize": "keep"}):
+    for bad in (
+        {"fmt": {"a": "application"}, "mask": {"message": 3}},
+        {"fmt": {"a b": "application"}},
+        {"fmt": "nope"},
+        {"fmt": "access", "log_type": "a b"},
+        {"fmt": "access", "oversize": "keep"},
+    ):
         with pytest.raises(ValueError):
             Flow(**bad)
 
