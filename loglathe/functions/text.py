@@ -17,7 +17,8 @@ _BLANK_CHARS = "".join(chr(c) for c in range(0x21))
 
 def is_blank(col: Column) -> Column:
     """Null, empty, or nothing but characters up to U+0020 (tabs and control characters included)."""
-    return col.isNull() | (F.btrim(col, F.lit(_BLANK_CHARS)) == "")
+    # trimming one side is enough, and it stops at the first other character
+    return col.isNull() | (F.ltrim(col, F.lit(_BLANK_CHARS)) == "")
 
 
 def utf16_length(col: Column) -> Column:

@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,6 +135,12 @@ def grok(
     )
 
 
+def check_patterns(spark: SparkSession, *formats: str | LogFormat) -> None:
+    """Have Spark compile the regexes on an empty line, so that a bad one fails now and not in the middle of a job."""
+    tries = [F.lit("").rlike(pattern_of(f).regex).alias(f"p{i}") for i, f in enumerate(formats)]
+    spark.range(1).select(*tries).collect()
+
+
 def parse_json_lines(
     df: DataFrame, schema: T.StructType, col: str = "value", *, max_length: int = MAX_LINE_LENGTH
 ) -> DataFrame:

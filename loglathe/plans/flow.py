@@ -15,6 +15,7 @@ from loglathe.operators.parse import (
     OK,
     TOO_LONG,
     check_log_type,
+    check_patterns,
     parse_lines,
     parse_multi_format,
     pattern_of,
@@ -78,6 +79,10 @@ class Flow:
             lines = lines.withColumn("log_type", log_type_from_path(self.type_paths))
         return parse_multi_format(lines, self.fmt, max_length=self.max_length)
 
+    def check(self, spark: SparkSession) -> None:
+        """Fail on a pattern that is no valid regex, before any data is read."""
+        check_patterns(spark, *(self.fmt.values() if self.mixed else [self.fmt]))
+
     def cells(self, parsed: DataFrame) -> dict[str, Column]:
         if self.mixed:
             return mixed_row_columns(
@@ -142,6 +147,7 @@ def run_batch(
     spark: SparkSession, source: str | DataFrame, flow: Flow, root: str, *, batch: int = 0, reject_path: str | None = None
 ) -> dict[str, int]:
     """Parse a folder (or a DataFrame with a ``value`` column) once, store everything, return the counters."""
+    flow.check(spark)
     lines = scan_lines(spark, source) if isinstance(source, str) else source
     observation = Observation()
     flow.store(flow.outcomes(lines, observation), root, batch, reject_path)

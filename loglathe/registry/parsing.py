@@ -14,6 +14,7 @@ from loglathe.operators.parse import (
     parse_lines,
     parse_multi_format,
 )
+from loglathe.operators.quality import parse_counters
 from loglathe.plans.formats import FORMATS
 from loglathe.registry.core import query
 from loglathe.registry.lines_sql import (
@@ -81,6 +82,37 @@ def _filter_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_valid(parse_lines(lines(spark, sf_dir), "application")).select("event_id", "value")
 
 
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|[0-1]?[0-9][0-9]?)"
+_ADDRESS = rf"(?:^|[^0-9])({_OCTET}[.]{_OCTET}[.]{_OCTET}[.]{_OCTET})(?:[^0-9]|$)"
+
+
+@query(
+    "grok_search",
+    f"WITH {_DOCUMENT_LINES} SELECT doc_id, line_no, regexp_extract(value, '{_ADDRESS}', 1) AS ip FROM document_lines"
+    f" WHERE length(value) <= 10000 AND regexp_matches(value, '{_ADDRESS}')",
+)
+def _grok_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pattern that may sit anywhere in a line, over all lines of all documents."""
+    return flatten(grok(document_lines(spark, sf_dir), "%{IPV4:ip}"), keep=["doc_id", "line_no"])
+
+
+@query(
+    "document_counters",
+    f"WITH {_DOCUMENT_LINES}, s AS (SELECT lang, CASE WHEN {BLANK_SQL} THEN 'BLANK'"
+    r" WHEN length(regexp_replace(value, '[\x{10000}-\x{10FFFF}]', 'xx', 'g')) > 10000 THEN 'TOO_LONG'"
+    r" WHEN regexp_matches(value, '(?:^|[^0-9A-Za-z_])[0-9A-Za-z_]+ [^\n\r\x{85}\x{2028}\x{2029}]*: [0-9]') THEN 'OK'"
+    " ELSE 'NO_MATCH' END AS status FROM document_lines JOIN documents USING (doc_id))"
+    " SELECT lang, count(*) AS received, count(*) FILTER (status = 'BLANK') AS blank,"
+    " count(*) FILTER (status = 'OK') AS parsed_success,"
+    " count(*) FILTER (status NOT IN ('OK', 'BLANK')) AS parsed_failed FROM s GROUP BY lang",
+)
+def _document_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters over real prose, most of which is no log line."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    lines_of = docs.select("lang", F.explode(F.split("text", "\n", -1)).alias("value"))
+    return parse_counters(grok(lines_of, "%{WORD:key} %{GREEDYDATA:rest}: (?<digit>[0-9])"), ["lang"])
+
+
 # -- one query per format ------------------------------------------------------------------------------------------
 
 

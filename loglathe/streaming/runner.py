@@ -41,6 +41,7 @@ def run_stream(
     a batch by its number: a batch that is replayed after a failure leaves the same files.  Counters of each batch are
     in the query's progress under ``parse_counters``.
     """
+    flow.check(spark)
     lines = stream_lines(spark, source, **source_options) if isinstance(source, str) else source
     outcomes = flow.outcomes(lines, COUNTERS)
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loglathe.operators.parse import (
+    check_patterns,
     drop_blank,
     drop_oversize,
     fields_map,
@@ -243,6 +244,12 @@ def test_long_odd_lines_do_not_break_the_task(parse_all, text):
     assert parse_all([text], "%{URI:u} %{HOSTNAME:h} %{QS:q}")[0][0] == "NO_MATCH"
 
 
+def test_a_bad_regex_fails_before_the_job(spark):
+    check_patterns(spark, "application", FORMATS["access"], "%{INT:n}")
+    with pytest.raises(Exception, match="INVALID_PARAMETER_VALUE"):
+        check_patterns(spark, "%{INT:n} (")
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
