@@ -100,7 +100,7 @@ def _grok_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     "document_counters",
     f"WITH {_DOCUMENT_LINES}, s AS (SELECT lang, CASE WHEN {BLANK_SQL} THEN 'BLANK'"
     r" WHEN length(regexp_replace(value, '[\x{10000}-\x{10FFFF}]', 'xx', 'g')) > 10000 THEN 'TOO_LONG'"
-    r" WHEN regexp_matches(value, '(?:^|[^0-9A-Za-z_])[0-9A-Za-z_]+ [^\n\r\x{85}\x{2028}\x{2029}]*: [0-9]') THEN 'OK'"
+    r" WHEN regexp_matches(value, '(?:^|[^\p{L}\p{N}_])[0-9A-Za-z_]+ [+-]?[0-9]+') THEN 'OK'"
     " ELSE 'NO_MATCH' END AS status FROM document_lines JOIN documents USING (doc_id))"
     " SELECT lang, count(*) AS received, count(*) FILTER (status = 'BLANK') AS blank,"
     " count(*) FILTER (status = 'OK') AS parsed_success,"
@@ -110,7 +110,7 @@ def _document_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters over real prose, most of which is no log line."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     lines_of = docs.select("lang", F.explode(F.split("text", "\n", -1)).alias("value"))
-    return parse_counters(grok(lines_of, "%{WORD:key} %{GREEDYDATA:rest}: (?<digit>[0-9])"), ["lang"])
+    return parse_counters(grok(lines_of, "%{WORD:key} %{INT:n:long}"), ["lang"])
 
 
 # -- one query per format ------------------------------------------------------------------------------------------
