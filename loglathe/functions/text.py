@@ -11,6 +11,8 @@ MAX_LINE_LENGTH = 10_000
 PII_KEYS = ("vuid", "vp_id")
 PII_VISIBLE_CHARS = 3
 
+_CORRUPT = "__corrupt"
+
 # Everything up to and including the space: what trimming a line removes.
 _BLANK_CHARS = "".join(chr(c) for c in range(0x21))
 
@@ -54,11 +56,27 @@ def mask_json_values(col: Column, keys: Sequence[str] = PII_KEYS, visible: int =
     return out
 
 
+def json_object(col: Column, element_type: str) -> Column:
+    """The JSON object a text consists of, read as ``element_type``; null for any other text.
+
+    Spark's reader stops after the first value and ignores what follows, so text holding a second object or a torn end
+    would lose it unnoticed.  Read as the only element of an array inside an object, nothing may follow.
+    """
+    wrapped = F.concat(F.lit('{"o":['), col, F.lit("]}"))
+    read_as = f"o array<{element_type}>, {_CORRUPT} string"
+    outer = F.from_json(wrapped, read_as, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    # the lambda gives the parsed value a name, so that reading it three times does not parse it three times
+    found = F.transform(
+        F.array(outer), lambda x: F.when(x[_CORRUPT].isNull() & (F.size(x["o"]) == 1), x["o"][0])
+    )[0]
+    # other text need not fail in the reader, which is slow
+    return F.when(F.ltrim(col, F.lit(" \t\r\n")).startswith("{"), found)
+
+
 def drop_empty_json(col: Column) -> Column:
     """JSON object text without its null and blank top-level values; null when the text is not a JSON object."""
-    entries = F.from_json(col, "map<string,variant>", {"mode": "PERMISSIVE"})
     kept = F.map_filter(
-        entries,
+        json_object(col, "map<string,variant>"),
         lambda _, v: v.isNotNull()
         & ~F.is_variant_null(v)
         & (F.coalesce(F.btrim(_variant_text(v), F.lit(_BLANK_CHARS)), F.lit("?")) != ""),

@@ -16,7 +16,8 @@ MAX_FIELDS = 10_000
 
 def _is_int_text(value: Column) -> Column:
     """True when the text is exactly how a 32-bit integer is written (``007`` and overflows are not)."""
-    return F.coalesce(value.try_cast("int").cast("string") == value, F.lit(False))
+    fits = value.cast("long").between(-(2**31), 2**31 - 1)
+    return F.coalesce(F.when(value.rlike(r"^(?:0|-?[1-9][0-9]{0,9})\z"), fits), F.lit(False))
 
 
 def infer_schema(

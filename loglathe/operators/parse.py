@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loglathe.functions.casts import spark_type
+from loglathe.functions.casts import cast_text
 from loglathe.functions.patterns import CompiledPattern, compile_pattern
-from loglathe.functions.text import MAX_LINE_LENGTH, is_blank, is_oversize
+from loglathe.functions.text import MAX_LINE_LENGTH, is_blank, is_oversize, json_object
 from loglathe.plans.formats import FORMATS, LogFormat, log_format
 
 OK, BLANK, TOO_LONG, NO_MATCH, BAD_JSON = "OK", "BLANK", "TOO_LONG", "NO_MATCH", "BAD_JSON"
@@ -28,7 +28,6 @@ _MARK, _FENCE = "\u0001", "\u0002"
 _PARTS = "__parts"
 _MARKS = "__mark"
 _JSON = "__json"
-_CORRUPT = "__corrupt"
 _LOG_TYPE = re.compile(r"[a-zA-Z0-9_-]{1,50}")
 
 
@@ -74,7 +73,7 @@ def _field_texts(pattern: CompiledPattern, typed: bool = False) -> dict[str, str
             position += 1
         text = values[0] if len(values) == 1 else f"coalesce({', '.join(values)})"
         if typed and capture.type_name:
-            text = f"try_cast({text} AS {spark_type(capture.type_name).simpleString()})"
+            text = cast_text(text, capture.type_name)
         out[capture.name] = text
     return out
 
@@ -145,20 +144,16 @@ def parse_json_lines(
     df: DataFrame, schema: T.StructType, col: str = "value", *, max_length: int = MAX_LINE_LENGTH
 ) -> DataFrame:
     """Parse one JSON object per line by a declared schema; text that is not such an object gets ``BAD_JSON``."""
-    line = F.col(col)
-    read_as = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json(line, read_as, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    guarded = F.when(~is_blank(line) & ~is_oversize(line, max_length), parsed)
-    record = F.col(_JSON)
-    good = record.isNotNull() & record[_CORRUPT].isNull()
+    line, record = F.col(col), F.col(_JSON)
+    parsed = F.when(~is_oversize(line, max_length), json_object(line, schema.simpleString()))
     status = (
-        F.when(good, F.lit(OK))
+        F.when(record.isNotNull(), F.lit(OK))
         .when(is_blank(line), F.lit(BLANK))
         .when(is_oversize(line, max_length), F.lit(TOO_LONG))
         .otherwise(F.lit(BAD_JSON))
     )
-    values = [F.when(good, record[f.name]).alias(f.name) for f in schema.fields]
-    return _evaluate_once(df, guarded, _JSON).withColumns({"status": status, "fields": F.struct(*values)}).drop(_JSON)
+    fields = F.struct(*[record[f.name].alias(f.name) for f in schema.fields])
+    return _evaluate_once(df, parsed, _JSON).withColumns({"status": status, "fields": fields}).drop(_JSON)
 
 
 def parse_lines(

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loglathe.functions.casts import int_field, spark_type, string_field
+from loglathe.functions.casts import cast_as, cast_text, int_field, spark_type, string_field
 from loglathe.functions.text import drop_empty_json, mask_from, mask_json_values
 from loglathe.operators.infer import infer_schema, inferred_struct
 from loglathe.operators.parse import parse_lines
@@ -37,6 +37,16 @@ def test_cast_fields(spark):
         cast_fields(df, {"z": "int"})
 
 
+def test_casts_take_what_spark_takes(spark):
+    """The look at the text before a cast changes no result."""
+    values = [" 8 ", "8", "+8", "-8", "1.5", "abc", "", None, "2147483648", "9223372036854775808", "1e3", ".5", "5.", "1d",
+              "NaN", "Infinity", "-inf", "yes", "T", "0", " true ", "on", "0x1F", "1_000", "٨", "1e", "\t7\n"]
+    for name in ("int", "long", "double", "boolean"):
+        plain = column(spark, values, lambda c, n=name: c.try_cast(spark_type(n)).cast("string"))
+        assert column(spark, values, lambda c, n=name: cast_as(c, n).cast("string")) == plain
+        assert column(spark, values, lambda c, n=name: F.expr(cast_text("v", n)).cast("string")) == plain
+
+
 def test_mask_from(spark):
     assert column(spark, ["test1234", None, "", "abc"], lambda c: mask_from(c, 4)) == ["test****", None, "", "abc"]
     assert column(spark, ["test"], lambda c: mask_from(c, 10)) == ["test"]
@@ -68,6 +78,9 @@ def test_drop_empty_json(spark):
         '{"n":{"x":null},"l":[],"f":1.5,"t":true}': '{"n":{"x":null},"l":[],"f":1.5,"t":true}',
         "{}": "{}",
         '{"a":': None,
+        '{"a":1}{"b":2}': None,
+        '[{"a":1}]': None,
+        "": None,
         '{"tab":"\\t\\n","z":0}': '{"z":0}',
     }
     assert column(spark, list(cases), drop_empty_json) == list(cases.values())

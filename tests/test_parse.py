@@ -4,6 +4,7 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loglathe.operators.parse import (
     check_patterns,
@@ -12,6 +13,7 @@ from loglathe.operators.parse import (
     fields_map,
     flatten,
     grok,
+    parse_json_lines,
     parse_lines,
     parse_multi_format,
 )
@@ -158,6 +160,20 @@ def test_json_lines(parse_all):
     assert got[5][1]["level"] is None and got[1][1]["level"] is None
 
 
+def test_nothing_behind_a_json_object_is_lost(parse_all):
+    lines = ['{"level":"I"} xyz', '{"level":"I"}{"level":"W"}', '{"level":"I"},{"level":"W"}', '{"level":"I"}]',
+             '{"level":"I"}],[{"level":"W"}', '[{"level":"I"},{"level":"W"}]', '{"level":"I",}']
+    assert {s for s, _ in parse_all(lines, "json")} == {"BAD_JSON"}
+    got = parse_all([' \t{"level":5,"message":{"a":1}} ', '{"level":null}'], "json")
+    assert [(s, f["level"], f["message"]) for s, f in got] == [("OK", "5", '{"a":1}'), ("OK", None, None)]
+
+
+def test_json_fields_with_types(spark):
+    df = spark.createDataFrame([('{"n":5}',), ('{"n":"x"}',)], "value string")
+    got = parse_json_lines(df, T.StructType([T.StructField("n", T.IntegerType())])).collect()
+    assert [(r["status"], r["fields"]["n"]) for r in got] == [("OK", 5), ("BAD_JSON", None)]
+
+
 def test_json_captured_whole(spark):
     line = '{"a":1}'
     df = grok(spark.createDataFrame([(line,), ("  ",)], "value string"), FORMATS["json"].pattern)
