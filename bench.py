@@ -27,8 +27,8 @@ from loglathe.streaming.runner import run_stream
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
-REPEAT = int(os.environ.get("BENCH_REPEAT", "20"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "10"))
 
 HEADLINE = (
     "parse_counters", "grok_application", "grok_loglevel", "grok_access", "grok_syslog", "grok_nginx_error",

@@ -59,8 +59,11 @@ NAMED_PATTERNS: dict[str, str] = {
     # a name has at most 127 labels
     "HOSTNAME": r"\b(?:[0-9A-Za-z][0-9A-Za-z-]{0,62})(?:\.(?:[0-9A-Za-z][0-9A-Za-z-]{0,62})){0,126}(?:\.?|\b)",
     "IPORHOST": r"(?:%{HOSTNAME}|%{IP})",
-    # IPORHOST where a blank must follow: no label is ever given back, since none could be followed by a blank
-    "BLANKHOST": r"(?:\b[0-9A-Za-z][0-9A-Za-z-]{0,62}+(?:\.[0-9A-Za-z][0-9A-Za-z-]{0,62}+)*+(?:\.?|\b)|%{IP})",
+    # IPORHOST where a blank must follow: no label is given back, since none could be followed by a blank, and once a name
+    # and its blank are found an address is not tried, since it would be the same text
+    "BLANKHOST": (
+        r"(?>\b[0-9A-Za-z][0-9A-Za-z-]{0,62}+(?:\.[0-9A-Za-z][0-9A-Za-z-]{0,62}+)*+(?:\.?|\b)(?= )|%{IP}(?= ))"
+    ),
     "URIPROTO": r"[A-Za-z]+(?:\+[A-Za-z+]+)?",
     "URIHOST": r"%{IPORHOST}(?::%{POSINT})?",
     "URIPATH": r"/[A-Za-z0-9$.+!*'(){},~:;=@#%_\-/]*",
