@@ -181,7 +181,7 @@ def pattern_quarantine(
 ) -> DataFrame:
     """Longest and current run of failures in a row per group; more than ``threshold`` in a row means quarantine.
 
-    A run is a property of the order, but no group has to sit in one task for it.  The rows are range-partitioned by
+    ``order`` must be unique within a group.  A run is a property of that order, but no group has to sit in one task for it.  The rows are range-partitioned by
     (group, order), which cuts a large group into even chunks; each chunk is reduced to four numbers; and runs that
     cross chunk borders are joined from those, of which there are at most as many as partitions and groups together.
 

@@ -14,6 +14,7 @@ from loglathe.operators.parse import OK
 from loglathe.plans.formats import FORMATS, LogFormat, log_format
 
 EVENT_DATE = "event_date"
+EVENT_TIME = "event_time"
 DATE_PATTERN = "yyyy-MM-dd"
 
 # The columns of the generic log table, all required.
@@ -30,6 +31,26 @@ def processing_date() -> Column:
     return F.date_format(F.current_date(), DATE_PATTERN)
 
 
+def _with_year(text: Column, pattern: str, year: int) -> tuple[Column, str]:
+    """Put a year before a date that lacks one; single-digit days may be padded with a blank."""
+    return F.regexp_replace(F.concat(F.lit(f"{year} "), text), " +", " "), f"yyyy {pattern}"
+
+
+def event_time(timestamp: Column, fmt: str | LogFormat, year: int | None = None) -> Column:
+    """A log timestamp as a point in time; null where it cannot be read.
+
+    Text without a time zone is read in the session's zone.  Syslog stamps need a ``year``.
+    """
+    pattern = log_format(fmt).time_format
+    if pattern is None:
+        return F.regexp_replace(timestamp, ",", ".").try_cast("timestamp")
+    if "y" not in pattern:
+        if year is None:
+            raise ValueError("Timestamps of this format have no year; give one")
+        timestamp, pattern = _with_year(timestamp, pattern, year)
+    return F.try_to_timestamp(timestamp, F.lit(pattern))
+
+
 def event_date(timestamp: Column, fmt: str | LogFormat, year: int | None = None) -> Column:
     """The date written in a log timestamp, as text; the processing date where there is none.
 
@@ -43,8 +64,7 @@ def event_date(timestamp: Column, fmt: str | LogFormat, year: int | None = None)
     if "y" not in pattern:
         if year is None:
             return processing_date()
-        text = F.regexp_replace(F.concat(F.lit(f"{year} "), text), " +", " ")
-        pattern = f"yyyy {pattern}"
+        text, pattern = _with_year(text, pattern, year)
     if pattern == DATE_PATTERN:
         # the text already is the date; only make sure that it is a real one
         return F.coalesce(F.when(text.try_cast("date").isNotNull(), text), processing_date())
@@ -69,6 +89,7 @@ def row_columns(
     mask: Mapping[str, int] | None = None,
     mask_json: Sequence[str] = (),
     event_date_from: str | None = None,
+    event_time_from: str | None = None,
     year: int | None = None,
 ) -> dict[str, Column]:
     """Column expressions of a table row, by name.
@@ -78,6 +99,7 @@ def row_columns(
     ``mask``             field -> number of characters left readable
     ``mask_json``        fields holding JSON text whose personal values are masked
     ``event_date_from``  field to take the partition date from; default is the processing date
+    ``event_time_from``  field to add as a timestamp column ``event_time``; the text itself stays as it is
     """
     chosen = log_format(fmt)
     captured = parsed.schema["fields"].dataType.names
@@ -92,6 +114,8 @@ def row_columns(
             value = mask_json_values(value)
         type_name = type_names.get(name, "string")
         out[name] = string_field(value) if type_name.lower() == "string" else cast_as(value.cast("string"), type_name)
+    if event_time_from is not None:
+        out[EVENT_TIME] = event_time(F.col("fields")[event_time_from], chosen, year)
     date = processing_date() if event_date_from is None else event_date(F.col("fields")[event_date_from], chosen, year)
     out[EVENT_DATE] = date
     return out

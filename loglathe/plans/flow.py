@@ -48,6 +48,7 @@ class Flow:
     mask: dict[str, int] = field(default_factory=dict)
     mask_json: tuple[str, ...] = ()
     event_date_from: str | None = None
+    event_time_from: str | None = None
     year: int | None = None
     max_length: int = MAX_LINE_LENGTH
     oversize: str = "reject"  # or "drop"
@@ -65,8 +66,8 @@ class Flow:
             for name, fmt in self.fmt.items():
                 check_log_type(name)
                 pattern_of(fmt)
-            if self.types or self.mask or self.mask_json:
-                raise ValueError("Types and masks apply to flows of one format")
+            if self.types or self.mask or self.mask_json or self.event_time_from:
+                raise ValueError("Types, masks and event times apply to flows of one format")
         else:
             log_format(self.fmt)
         if self.oversize not in ("reject", "drop"):
@@ -96,6 +97,7 @@ class Flow:
             mask=self.mask,
             mask_json=self.mask_json,
             event_date_from=self.event_date_from,
+            event_time_from=self.event_time_from,
             year=self.year,
         )
 

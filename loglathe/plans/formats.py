@@ -15,6 +15,7 @@ class LogFormat:
     pattern: str
     date_chars: int | None = None  # leading characters of ``timestamp`` that hold the date
     date_format: str | None = None  # how those characters are written
+    time_format: str | None = None  # how ``timestamp`` is written; None = ISO 8601
     json_schema: T.StructType | None = None  # set when the captured text is JSON to be expanded
 
     @property
@@ -26,6 +27,8 @@ JSON_LOG_SCHEMA = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("timestamp", "level", "service", "message")]
 )
 
+HTTP_TIME = "dd/MMM/yyyy:HH:mm:ss Z"
+
 # The documented patterns of each log format.
 FORMATS: dict[str, LogFormat] = {
     f.name: f
@@ -42,16 +45,19 @@ FORMATS: dict[str, LogFormat] = {
             10,
             "yyyy-MM-dd",
         ),
-        LogFormat("access", "%{COMBINEDAPACHELOG}", 11, "dd/MMM/yyyy"),
-        LogFormat("access_combined", "%{COMMONAPACHELOG} %{QS:referrer} %{QS:agent}", 11, "dd/MMM/yyyy"),
-        LogFormat("syslog", "%{SYSLOGBASE} %{GREEDYDATA:message}", 6, "MMM d"),
-        LogFormat("json", "%{GREEDYDATA:json_data}", 10, "yyyy-MM-dd", JSON_LOG_SCHEMA),
+        LogFormat("access", "%{COMBINEDAPACHELOG}", 11, "dd/MMM/yyyy", HTTP_TIME),
+        LogFormat(
+            "access_combined", "%{COMMONAPACHELOG} %{QS:referrer} %{QS:agent}", 11, "dd/MMM/yyyy", HTTP_TIME
+        ),
+        LogFormat("syslog", "%{SYSLOGBASE} %{GREEDYDATA:message}", 6, "MMM d", "MMM d HH:mm:ss"),
+        LogFormat("json", "%{GREEDYDATA:json_data}", 10, "yyyy-MM-dd", json_schema=JSON_LOG_SCHEMA),
         LogFormat(
             "nginx_error",
             r"(?<timestamp>%{YEAR}/%{MONTHNUM}/%{MONTHDAY} %{TIME}) \[%{LOGLEVEL:level}\] "
             r"%{NONNEGINT:pid}#%{NONNEGINT}: %{GREEDYDATA:message}",
             10,
             "yyyy/MM/dd",
+            "yyyy/MM/dd HH:mm:ss",
         ),
         LogFormat(
             "custom_app",

@@ -102,6 +102,19 @@ def _shape_rows_syslog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "shape_event_time",
+    f"WITH {parsed_cte('access')} SELECT event_id, f.timestamp AS \"timestamp\","
+    " strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time FROM parsed WHERE status = 'OK'",
+)
+def _shape_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The timestamp text and, beside it, the point in time it stands for."""
+    parsed = parse_lines(lines(spark, sf_dir, "access"), "access")
+    rows = shape_rows(parsed, "access", keep=["event_id"], columns=["timestamp"], event_time_from="timestamp")
+    utc = F.to_utc_timestamp("event_time", F.current_timezone())
+    return rows.select("event_id", "timestamp", F.date_format(utc, "yyyy-MM-dd HH:mm:ss").alias("event_time"))
+
+
 # -- masking and JSON ----------------------------------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ from loglathe.functions.text import drop_empty_json, mask_from, mask_json_values
 from loglathe.operators.infer import infer_schema, inferred_struct
 from loglathe.operators.parse import parse_lines
 from loglathe.operators.route import reject_envelope, rejects, replay_rejects
-from loglathe.operators.shape import GENERIC_COLUMNS, cast_fields, event_date, generic_schema, shape_rows
+from loglathe.operators.shape import GENERIC_COLUMNS, cast_fields, event_date, event_time, generic_schema, shape_rows
 
 
 def column(spark, values, expr):
@@ -101,6 +101,25 @@ def test_event_dates(spark):
     assert column(spark, ["Jan 15 10:30:00"], lambda c: event_date(c, "syslog")) == [today]
 
 
+def test_event_times(spark):
+    cases = [
+        ("application", "2024-01-15T23:30:00.123-07:00", None, "2024-01-16 06:30:00.123"),
+        ("custom_app", "2024-01-15 10:30:00,500", None, "2024-01-15 10:30:00.500"),
+        ("access", "15/Jan/2024:23:30:00 -0700", None, "2024-01-16 06:30:00.000"),
+        ("syslog", "Feb  3 10:30:00", 2024, "2024-02-03 10:30:00.000"),
+        ("nginx_error", "2024/01/15 10:30:00", None, "2024-01-15 10:30:00.000"),
+        ("application", "2024-13-45T00:00:00Z", None, None),
+    ]
+    for fmt, text, year, expected in cases:
+
+        def at(c, f=fmt, y=year):
+            return F.date_format(event_time(c, f, y), "yyyy-MM-dd HH:mm:ss.SSS")
+
+        assert column(spark, [text], at) == [expected]
+    with pytest.raises(ValueError, match="no year"):
+        event_time(F.lit("x"), "syslog")
+
+
 def test_rows_are_shaped_by_name(spark):
     lines = ["2024-01-15T10:30:00.123Z INFO started", "bad", ""]
     parsed = parse_lines(spark.createDataFrame([(x,) for x in lines], "value string"), "application")
