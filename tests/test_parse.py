@@ -1,11 +1,13 @@
 """Value tests: documented example lines and difficult ones."""
 
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loglathe.functions.patterns import compile_pattern
 from loglathe.operators.parse import (
     check_patterns,
     drop_blank,
@@ -278,3 +280,30 @@ def test_regex_runs_once_per_line_without_python_or_shuffle(spark, folder):
         physical = plan(flatten(parse_lines(text, fmt)).where(F.col("timestamp") > "2024"))
         assert len(re.findall(r"regexp_replace\(", physical)) == 1
         assert "Exchange" not in physical and "Python" not in physical and "Arrow" not in physical
+
+
+@pytest.mark.parametrize(
+    ("template", "regex"),
+    [
+        ("(?<a>[a1]+)(?<b>.*)", "(?P<a>[a1]+)(?P<b>.*)"),
+        ("(?<a>.*?) (?:(?<b>[0-9]+)|(?<c>x+))?", "(?P<a>.*?) (?:(?P<b>[0-9]+)|(?P<c>x+))?"),
+        ("(?<a>[^a])", "(?P<a>[^a])"),
+        ("(?<a>\u0001*)a(?<b>\u0002?)(?<c>.)", "(?P<a>\u0001*)a(?P<b>\u0002?)(?P<c>.)"),
+    ],
+)
+def test_random_lines_against_a_plain_regex(spark, template, regex):
+    """Control characters used as marks, replacement signs and line breaks in every position."""
+    rng = random.Random(template)
+    lines = ["".join(rng.choices("a1x \u0001\u0002$\\\n\"{}", k=rng.randrange(1, 12))) for _ in range(1500)]
+    df = spark.createDataFrame(list(enumerate(lines)), "n int, value string").repartition(4)
+    absent = {c.name for c in compile_pattern(template).captures if c.optional}
+    for row in grok(df, template).collect():
+        line = lines[row["n"]]
+        hit = re.search(regex, line)
+        if not line.strip("".join(map(chr, range(33)))):
+            assert row["status"] == "BLANK"
+        elif hit is None:
+            assert row["status"] == "NO_MATCH" and not any(row["fields"])
+        else:
+            expected = {k: (v or None) if k in absent else v for k, v in hit.groupdict().items()}
+            assert (row["status"], row["fields"].asDict()) == ("OK", expected), repr(line)
