@@ -1,6 +1,17 @@
 """The queries of this folder."""
 
-from loglathe.llm import near_dedup  # noqa: F401
+from loglathe.llm import (  # noqa: F401
+    decontaminate,
+    hmm_scoring,
+    language_id,
+    mixing,
+    near_dedup,
+    pii,
+    quality_lines,
+    secrets_scan,
+    sharding,
+    token_files,
+)
 from loglathe.llm.common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
