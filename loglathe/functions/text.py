@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -28,12 +29,14 @@ def utf16_length(col: Column) -> Column:
     return (F.octet_length(F.encode(col, "UTF-16BE")) / 2).cast("int")
 
 
-def is_oversize(col: Column, limit: int = MAX_LINE_LENGTH) -> Column:
-    """Longer than ``limit`` UTF-16 units.
+def is_oversize(col: Column, limit: int | None = MAX_LINE_LENGTH) -> Column:
+    """Longer than ``limit`` UTF-16 units; nothing is without a limit.
 
     UTF-8 never uses fewer bytes than UTF-16 uses units, so the byte length, which Spark stores, settles almost
     every line without decoding it.
     """
+    if limit is None:
+        return F.lit(False)
     return (F.octet_length(col) > limit) & (F.octet_length(F.encode(col, "UTF-16BE")) > 2 * limit)
 
 
@@ -45,14 +48,16 @@ def mask_from(col: Column, keep: int) -> Column:
 
 
 def mask_json_values(col: Column, keys: Sequence[str] = PII_KEYS, visible: int = PII_VISIBLE_CHARS) -> Column:
-    """Star out the quoted values of ``keys`` inside JSON text, leaving ``visible`` characters readable.
+    """Star out the string and number values of ``keys`` inside JSON text, leaving ``visible`` characters readable.
 
-    Every occurrence is masked, blanks after the colon are allowed, and the rest of the text stays as it is.
+    Every occurrence is masked, with blanks on either side of the colon; an escaped character counts, and is starred, as one.
+    The rest of the text stays as it is.  A masked number is no number any more.
     """
     out = col
     for key in keys:
         # \G continues right behind the character masked last, so one pass walks through the whole value.
-        out = F.regexp_replace(out, rf'("{key}":\s*"[^"]{{{visible}}}|(?<!^)\G)[^"]', "$1*")
+        for opening, unit in (('"', r'(?:\\[^u]|\\u[0-9A-Fa-f]{4}|\\|[^"\\])'), ("", "[0-9.eE+-]")):
+            out = F.regexp_replace(out, rf'("{re.escape(key)}"\s*:\s*{opening}{unit}{{{visible}}}|(?<!^)\G){unit}', "$1*")
     return out
 
 

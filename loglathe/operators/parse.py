@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from loglathe.functions.casts import cast_text
 from loglathe.functions.patterns import CompiledPattern, compile_pattern
 from loglathe.functions.text import MAX_LINE_LENGTH, is_blank, is_oversize, json_object
-from loglathe.plans.formats import FORMATS, LogFormat, log_format
+from loglathe.plans.formats import JSON_TEXT, LogFormat, log_format
 
 OK, BLANK, TOO_LONG, NO_MATCH, BAD_JSON = "OK", "BLANK", "TOO_LONG", "NO_MATCH", "BAD_JSON"
 
@@ -49,16 +49,26 @@ def _rewritten(line: Column, pattern: CompiledPattern, mark: Column) -> Column:
     return F.regexp_replace(line, search, F.when(mark == _MARK, layout).otherwise(own_layout))
 
 
-def _with_parts(df: DataFrame, line: Column, rewrite: Callable[[Column], Column], max_length: int) -> DataFrame:
+def _with_parts(df: DataFrame, line: Column, split: Callable[[Column], Column], max_length: int | None) -> DataFrame:
     """Add the parts column: ``['', group 1, .., group N]`` on a match and a one-element array on a miss.
 
     It is null for blank and oversize lines, which never reach the regex.
     """
-    mark = F.col(_MARKS)
-    parts = F.when(~is_blank(line) & ~is_oversize(line, max_length), F.split(rewrite(mark), mark, -1))
+    parts = F.when(~is_blank(line) & ~is_oversize(line, max_length), split(F.col(_MARKS)))
     return _evaluate_once(df.withColumn(_MARKS, _own_mark(line)), parts, _PARTS).drop(_MARKS)
 
 
+def _regex_parts(line: Column, pattern: CompiledPattern, mark: Column) -> Column:
+    return F.split(_rewritten(line, pattern, mark), mark, -1)
+
+
+def _json_parts(line: Column, schema: T.StructType) -> Column:
+    """The same for a JSON object: its declared fields, null where absent, and the whole text."""
+    record = json_object(line, schema.simpleString())
+    cells = F.transform(F.array(record), lambda r: F.when(r.isNull(), F.array(F.lit(""))).otherwise(F.array(F.lit(""), *[r[f.name].cast("string") for f in schema.fields], line)))
+    return cells[0]
+
+
 def _field_texts(pattern: CompiledPattern, typed: bool = False) -> dict[str, str]:
     """SQL text of each field, read from the parts column; a string unless ``typed`` and declared otherwise.
 
@@ -83,8 +93,12 @@ def _fields_struct(pattern: CompiledPattern) -> Column:
     return F.expr("named_struct(" + ", ".join(f"'{name}', {text}" for name, text in cells.items()) + ")")
 
 
-def _fields_map(pattern: CompiledPattern) -> str:
+def _fields_map(fmt: LogFormat) -> str:
     """SQL text of a map of all fields, absent ones with null."""
+    if fmt.json_schema is not None:
+        listed = ", ".join(f"'{n}'" for n in fmt.field_names)
+        return f"map_from_arrays(array({listed}), slice({_PARTS}, 2, {len(fmt.field_names)}))"
+    pattern = fmt.compiled
     names = ", ".join(f"'{c.name}'" for c in pattern.captures)
     if any(len(c.groups) > 1 for c in pattern.captures):
         values = f"array({', '.join(_field_texts(pattern).values())})"
@@ -122,28 +136,34 @@ def grok(
     col: str = "value",
     *,
     custom: Mapping[str, str] | None = None,
-    max_length: int = MAX_LINE_LENGTH,
+    max_length: int | None = None,
 ) -> DataFrame:
-    """Apply a pattern template to a text column; adds ``status`` and ``fields`` (see the module text)."""
+    """Apply a pattern template to a text column; adds ``status`` and ``fields`` (see the module text).
+
+    All texts are searched; with ``max_length`` longer ones are ``TOO_LONG``.
+    """
     compiled = compile_pattern(pattern, dict(custom or {}))
     line, parts = F.col(col), F.col(_PARTS)
     return (
-        _with_parts(df, line, lambda mark: _rewritten(line, compiled, mark), max_length)
+        _with_parts(df, line, lambda mark: _regex_parts(line, compiled, mark), max_length)
         .withColumns({"status": _status(line, parts, compiled), "fields": _fields_struct(compiled)})
         .drop(_PARTS)
     )
 
 
-def check_patterns(spark: SparkSession, *formats: str | LogFormat) -> None:
+def check_patterns(spark: SparkSession, *formats: str | LogFormat, custom: Mapping[str, str] | None = None) -> None:
     """Have Spark compile the regexes on an empty line, so that a bad one fails now and not in the middle of a job."""
-    tries = [F.lit("").rlike(pattern_of(f).regex).alias(f"p{i}") for i, f in enumerate(formats)]
+    tries = [F.lit("").rlike(log_format(f, custom).compiled.regex).alias(f"p{i}") for i, f in enumerate(formats)]
     spark.range(1).select(*tries).collect()
 
 
 def parse_json_lines(
-    df: DataFrame, schema: T.StructType, col: str = "value", *, max_length: int = MAX_LINE_LENGTH
+    df: DataFrame, schema: T.StructType, col: str = "value", *, max_length: int | None = MAX_LINE_LENGTH
 ) -> DataFrame:
-    """Parse one JSON object per line by a declared schema; text that is not such an object gets ``BAD_JSON``."""
+    """Parse one JSON object per line by a declared schema; text that is not such an object gets ``BAD_JSON``.
+
+    The field ``json_data`` keeps the whole text, so keys without a field of their own are not lost.
+    """
     line, record = F.col(col), F.col(_JSON)
     parsed = F.when(~is_oversize(line, max_length), json_object(line, schema.simpleString()))
     status = (
@@ -152,18 +172,27 @@ def parse_json_lines(
         .when(is_oversize(line, max_length), F.lit(TOO_LONG))
         .otherwise(F.lit(BAD_JSON))
     )
-    fields = F.struct(*[record[f.name].alias(f.name) for f in schema.fields])
+    text = F.when(record.isNotNull(), line).alias(JSON_TEXT)
+    fields = F.struct(*[record[f.name].alias(f.name) for f in schema.fields], text)
     return _evaluate_once(df, parsed, _JSON).withColumns({"status": status, "fields": fields}).drop(_JSON)
 
 
 def parse_lines(
-    df: DataFrame, fmt: str | LogFormat, col: str = "value", *, max_length: int = MAX_LINE_LENGTH
+    df: DataFrame,
+    fmt: str | LogFormat,
+    col: str = "value",
+    *,
+    custom: Mapping[str, str] | None = None,
+    max_length: int | None = MAX_LINE_LENGTH,
 ) -> DataFrame:
-    """Parse lines of one known format; JSON formats are expanded into their declared fields."""
-    chosen = log_format(fmt)
+    """Parse lines of one format: a preset, a ``LogFormat`` or a template, which may use ``custom`` names.
+
+    JSON formats are expanded into their declared fields.  ``max_length`` is the rule for log lines; None lifts it.
+    """
+    chosen = log_format(fmt, custom)
     if chosen.json_schema is not None:
         return parse_json_lines(df, chosen.json_schema, col, max_length=max_length)
-    return grok(df, chosen.pattern, col, max_length=max_length)
+    return grok(df, chosen.pattern, col, custom=dict(chosen.custom), max_length=max_length)
 
 
 def parse_multi_format(
@@ -172,47 +201,48 @@ def parse_multi_format(
     type_col: str = "log_type",
     col: str = "value",
     *,
-    max_length: int = MAX_LINE_LENGTH,
+    custom: Mapping[str, str] | None = None,
+    max_length: int | None = MAX_LINE_LENGTH,
 ) -> DataFrame:
     """Parse lines of several formats in one scan; ``type_col`` says which pattern a line belongs to.
 
     ``fields`` is a ``map<string,string>`` holding the captured fields of the line's own format (absent fields are not
-    in the map).  Lines of a type without a pattern are ``NO_MATCH``.  Only the branch of its own type runs for a line.
+    in the map).  Lines of a type without a pattern are ``NO_MATCH``; text that is no object is ``BAD_JSON`` where the type's
+    format is JSON.  Only the branch of its own type runs for a line.
     """
     if not formats:
         raise ValueError("No formats given")
-    compiled = {check_log_type(name): pattern_of(f) for name, f in formats.items()}
+    chosen = {check_log_type(name): log_format(f, custom) for name, f in formats.items()}
+    regexes = {name: f.compiled for name, f in chosen.items() if f.json_schema is None}
+    schemas = {name: f.json_schema for name, f in chosen.items() if f.json_schema is not None}
     line, kind, parts = F.col(col), F.col(type_col), F.col(_PARTS)
 
-    def rewrite(mark: Column) -> Column:
+    def split(mark: Column) -> Column:
         branch = F
-        for name, pattern in compiled.items():
+        for name, pattern in regexes.items():
             branch = branch.when(kind == name, _rewritten(line, pattern, mark))
-        return branch.otherwise(F.lit(""))
+        found = F.split(branch.otherwise(F.lit("")) if regexes else F.lit(""), mark, -1)
+        for name, schema in schemas.items():
+            found = F.when(kind == name, _json_parts(line, schema)).otherwise(found)
+        return found
 
-    cases = " ".join(f"WHEN '{name}' THEN {_fields_map(pattern)}" for name, pattern in compiled.items())
+    cases = " ".join(f"WHEN '{name}' THEN {_fields_map(f)}" for name, f in chosen.items())
     pairs = F.expr(f"CASE WHEN size({_PARTS}) > 1 THEN CASE `{type_col}` {cases} END END")
     status = (
         F.when(F.size(parts) > 1, F.lit(OK))
+        .when(parts.isNotNull() & kind.isin(*schemas), F.lit(BAD_JSON))
         .when(parts.isNotNull(), F.lit(NO_MATCH))
         .when(is_blank(line), F.lit(BLANK))
         .otherwise(F.lit(TOO_LONG))
     )
     present = F.map_filter(pairs, lambda _, v: v.isNotNull())
     return (
-        _with_parts(df, line, rewrite, max_length)
+        _with_parts(df, line, split, max_length)
         .withColumns({"status": status, "fields": present})
         .drop(_PARTS)
     )
 
 
-def pattern_of(fmt: str | LogFormat) -> CompiledPattern:
-    """Compiled pattern of a format, a preset name, or a template."""
-    if isinstance(fmt, LogFormat):
-        return fmt.compiled
-    return FORMATS[fmt].compiled if fmt in FORMATS else compile_pattern(fmt)
-
-
 def fields_map(df: DataFrame) -> DataFrame:
     """Replace the ``fields`` struct by a map of the fields that are present."""
     names = df.schema["fields"].dataType.names

@@ -20,6 +20,8 @@ ERRORS_KEPT_PER_MINUTE = 10
 QUARANTINE_STREAK = 10
 RATE_WINDOW_SECONDS = 60
 RATE_SLIDE_SECONDS = 10
+# up to here Spark limits ranks before it shuffles
+RANK_LIMIT = 1000
 
 
 def counter_columns(status: Column, line: Column | None = None) -> list[Column]:
@@ -67,28 +69,30 @@ def health_status(
     record and the totals.  A group without a success for 300 seconds is down as well; before the first success the
     clock runs from the first record.
 
-    Two hash aggregates: the first leaves one row per group, outcome and error text, the second is tiny.
+    One hash aggregate with a row per group and outcome, whatever the error texts; the text of each group's last record is
+    then looked up by its position, which reads ``df`` a second time.
     """
     event_ts, position = F.col(ts), _order_key(F.col(ts), F.col(tiebreak))
-    first = (
-        df.select(*by, ok.alias("__ok"), F.when(~ok, error).alias("__error"), event_ts.alias("__ts"), position.alias("__at"))
-        .groupBy(*by, "__ok", "__error")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("__ts").alias("first_ts"),
-            F.max("__ts").alias("last_ts"),
-            F.max("__at").alias("__at"),
-        )
-    )
+    rows = df.select(*by, ok.alias("__ok"), F.when(~ok, error).alias("__error"), event_ts.alias("__ts"), position.alias("__at"))
     good = F.col("__ok")
-    totals = first.groupBy(*by).agg(
-        F.sum(F.when(good, F.col("n")).otherwise(0)).alias("processed"),
-        F.sum(F.when(~good, F.col("n")).otherwise(0)).alias("failed"),
-        F.max(F.when(good, F.col("last_ts"))).alias("__last_success"),
-        F.min("first_ts").alias("__first"),
-        F.max_by(good, "__at").alias("__last_ok"),
-        F.max_by("__error", "__at").alias("last_error"),
+    totals = rows.groupBy(*by).agg(
+        F.count_if(good).alias("processed"),
+        F.count_if(~good).alias("failed"),
+        F.max(F.when(good, F.col("__ts"))).alias("__last_success"),
+        F.min("__ts").alias("__first"),
+        F.max(F.when(good, F.col("__at"))).alias("__last_good"),
+        F.max("__at").alias("__last"),
     )
+    totals = totals.withColumn("__last_ok", F.col("__last").eqNullSafe(F.col("__last_good")))
+    ends = totals.where(~F.col("__last_ok")).select(*[F.col(c).alias(f"__{c}") for c in by], F.col("__last").alias("__end"))
+    same = F.col("__at") == F.col("__end")
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+    texts = rows.where(~good).join(ends, same).groupBy(*[f"__{c}" for c in by]).agg(F.max("__error").alias("last_error"))
+    known = F.lit(True)
+    for c in by:
+        known &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+    totals = totals.join(texts, known, "left")
     total = F.col("processed") + F.col("failed")
     unhealthy = (
         ~F.col("__last_ok") & (total > HEALTH_MIN_TOTAL) & (F.col("failed") > F.floor(total / 2))
@@ -141,15 +145,17 @@ def error_sample(
 ) -> DataFrame:
     """The first ``keep`` errors of each operation and minute (or other ``unit`` of time).
 
-    Spark applies the rank limit in every task before the shuffle, so an error storm sends at most ``keep`` rows per
-    task, operation and minute.
+    Up to 1,000 Spark applies the rank limit in every task before the shuffle, so an error storm sends at most ``keep`` rows per
+    task, operation and minute.  For more the rows are first ranked in 64 parts of each minute, so that a storm is not
+    sorted by one task.
     """
+    rows = errors.withColumn(unit, F.date_trunc(unit, F.col(ts)))
+    if keep > RANK_LIMIT:
+        part = Window.partitionBy(operation, unit, "__part").orderBy(ts, tiebreak)
+        rows = rows.withColumn("__part", F.pmod(F.xxhash64(ts, tiebreak), F.lit(64)))
+        rows = rows.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= keep).drop("__part", "rank")
     order = Window.partitionBy(operation, unit).orderBy(ts, tiebreak)
-    return (
-        errors.withColumn(unit, F.date_trunc(unit, F.col(ts)))
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= keep)
-    )
+    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
 
 
 def error_counts(

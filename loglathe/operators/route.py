@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loglathe.operators.parse import BLANK, OK, grok, parse_lines
-from loglathe.plans.formats import FORMATS, LogFormat
+from loglathe.operators.parse import BLANK, OK, parse_lines
+from loglathe.plans.formats import LogFormat
 
 # How a rejected line is labelled.
 ERROR_CLASS = "PARSE_ERROR"
@@ -56,11 +58,19 @@ def reject_envelope(reject_table: DataFrame) -> DataFrame:
     return reject_table.select(F.to_json(envelope).alias("value"))
 
 
-def replay_rejects(envelopes: DataFrame, pattern: str | LogFormat, col: str = "value") -> DataFrame:
-    """Parse stored rejects again, by a preset name, a format, or a pattern template."""
+def replay_rejects(
+    envelopes: DataFrame,
+    pattern: str | LogFormat,
+    col: str = "value",
+    *,
+    custom: Mapping[str, str] | None = None,
+    max_length: int | None = None,
+) -> DataFrame:
+    """Parse stored rejects again, by a preset name, a format, or a pattern template.
+
+    There is no length limit unless one is given, so lines that were too long before can be brought back.
+    """
     records = envelopes.select(F.from_json(F.col(col), ENVELOPE_SCHEMA).alias("e")).select(
         F.col("e.timestamp").alias("rejected_at"), F.col("e.record").alias("value")
     )
-    if isinstance(pattern, LogFormat) or pattern in FORMATS:
-        return parse_lines(records, pattern)
-    return grok(records, pattern)
+    return parse_lines(records, pattern, custom=custom, max_length=max_length)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -18,11 +19,10 @@ from loglathe.operators.parse import (
     check_patterns,
     parse_lines,
     parse_multi_format,
-    pattern_of,
 )
 from loglathe.operators.quality import counter_columns
 from loglathe.operators.route import reject_columns
-from loglathe.operators.shape import EVENT_DATE, mixed_row_columns, processing_date, row_columns
+from loglathe.operators.shape import EVENT_DATE, UNDATED, mixed_row_columns, processing_date, row_columns
 from loglathe.plans.formats import LogFormat, log_format
 from loglathe.sinks.rejects import write_reject_text
 from loglathe.sinks.tables import GOOD, REJECT, Layout, read_outcomes, write_outcomes
@@ -37,7 +37,8 @@ REJECT_SCHEMA = T.StructType(
 class Flow:
     """What to do with the lines of one log type, or of several at once.
 
-    ``fmt`` is a format or, for several log types, ``{log type: format, preset name or template}``.  The type of a line is
+    ``fmt`` is a preset name, format or template or, for several log types, ``{log type: one of these}``; templates may use the
+    names in ``custom``.  The type of a line is
     then its ``log_type`` column, or follows from ``type_paths``, ``{log type: part of the file path}``.
     """
 
@@ -50,10 +51,12 @@ class Flow:
     event_date_from: str | None = None
     event_time_from: str | None = None
     year: int | None = None
-    max_length: int = MAX_LINE_LENGTH
+    undated: str = UNDATED  # partition of lines without a readable date; "today" for the processing date
+    custom: dict[str, str] = field(default_factory=dict)
+    max_length: int | None = MAX_LINE_LENGTH
     oversize: str = "reject"  # or "drop"
     layout: Layout = Layout()
-    distribution: str = "none"
+    distribution: str = "auto"  # or "none", "rebalance"
     type_paths: dict[str, str] = field(default_factory=dict)
 
     @property
@@ -65,41 +68,38 @@ class Flow:
         if self.mixed:
             for name, fmt in self.fmt.items():
                 check_log_type(name)
-                pattern_of(fmt)
-            if self.types or self.mask or self.mask_json or self.event_time_from:
-                raise ValueError("Types, masks and event times apply to flows of one format")
+                log_format(fmt, self.custom).compiled  # raises for a bad template
         else:
-            log_format(self.fmt)
+            log_format(self.fmt, self.custom).compiled
         if self.oversize not in ("reject", "drop"):
             raise ValueError(f"Unknown oversize rule: {self.oversize}")
 
     def parse(self, lines: DataFrame) -> DataFrame:
         if not self.mixed:
-            return parse_lines(lines, self.fmt, max_length=self.max_length)
+            return parse_lines(lines, self.fmt, custom=self.custom, max_length=self.max_length)
         if self.type_paths:
             lines = lines.withColumn("log_type", log_type_from_path(self.type_paths))
-        return parse_multi_format(lines, self.fmt, max_length=self.max_length)
+        return parse_multi_format(lines, self.fmt, custom=self.custom, max_length=self.max_length)
 
     def check(self, spark: SparkSession) -> None:
         """Fail on a pattern that is no valid regex, before any data is read."""
-        check_patterns(spark, *(self.fmt.values() if self.mixed else [self.fmt]))
+        check_patterns(spark, *(self.fmt.values() if self.mixed else [self.fmt]), custom=self.custom)
 
     def cells(self, parsed: DataFrame) -> dict[str, Column]:
+        options = {
+            "columns": self.columns,
+            "types": self.types,
+            "mask": self.mask,
+            "mask_json": self.mask_json,
+            "event_date_from": self.event_date_from,
+            "event_time_from": self.event_time_from,
+            "year": self.year,
+            "undated": self.undated,
+            "custom": self.custom,
+        }
         if self.mixed:
-            return mixed_row_columns(
-                self.fmt, columns=self.columns, event_date_from=self.event_date_from, year=self.year
-            )
-        return row_columns(
-            parsed,
-            self.fmt,
-            columns=self.columns,
-            types=self.types,
-            mask=self.mask,
-            mask_json=self.mask_json,
-            event_date_from=self.event_date_from,
-            event_time_from=self.event_time_from,
-            year=self.year,
-        )
+            return mixed_row_columns(self.fmt, **options)
+        return row_columns(parsed, self.fmt, **options)
 
     def outcomes(self, lines: DataFrame, observation: Observation | str | None = None) -> DataFrame:
         """Good rows and rejects side by side, told apart by ``outcome``; blank lines are counted, then dropped."""
@@ -110,7 +110,7 @@ class Flow:
         ok = F.col("status") == OK
         good = {n: F.when(ok, c) for n, c in cells.items() if n != EVENT_DATE}
         bad = {n: F.when(~ok, c) for n, c in reject_columns(F.col("value")).items()}
-        clash = set(good) & {*bad, "outcome", "batch"}
+        clash = set(good) & {*bad, "outcome", "run", "batch"}
         if clash:
             raise ValueError(f"Field names in use by the reject columns: {sorted(clash)}")
         skipped = [BLANK, TOO_LONG] if self.oversize == "drop" else [BLANK]
@@ -131,12 +131,19 @@ class Flow:
 
     # -- results ---------------------------------------------------------------------------------------------------
 
-    def store(self, outcomes: DataFrame, root: str, batch: int, reject_path: str | None = None) -> None:
-        """Write one batch; then copy its rejects, which by now are a small table of their own, to the text store."""
-        write_outcomes(outcomes, root, batch, layout=self.layout, distribution=self.distribution)
+    def store(self, outcomes: DataFrame, root: str, run: str, batch: int, reject_path: str | None = None) -> None:
+        """Write one batch of a run; then copy its rejects, which by now are a small table of their own, to the text store."""
+        write_outcomes(outcomes, root, run, batch, layout=self.layout, distribution=self.spread)
         if reject_path is not None:
-            mine = read_outcomes(outcomes.sparkSession, root, REJECT_SCHEMA, REJECT, batch)
-            write_reject_text(mine, reject_path, batch)
+            mine = read_outcomes(outcomes.sparkSession, root, REJECT_SCHEMA, REJECT, run, batch)
+            write_reject_text(mine, reject_path, run, batch, max_records_per_file=self.layout.max_records_per_file)
+
+    @property
+    def spread(self) -> str:
+        """``auto``: rows are brought together by date when dates come from the lines, and else stay where they are."""
+        if self.distribution == "auto":
+            return "rebalance" if self.event_date_from else "none"
+        return self.distribution
 
     def good_table(self, spark: SparkSession, root: str) -> DataFrame:
         return read_outcomes(spark, root, self.good_schema(spark), GOOD)
@@ -146,11 +153,21 @@ class Flow:
 
 
 def run_batch(
-    spark: SparkSession, source: str | DataFrame, flow: Flow, root: str, *, batch: int = 0, reject_path: str | None = None
+    spark: SparkSession,
+    source: str | DataFrame,
+    flow: Flow,
+    root: str,
+    *,
+    run: str | None = None,
+    batch: int = 0,
+    reject_path: str | None = None,
 ) -> dict[str, int]:
-    """Parse a folder (or a DataFrame with a ``value`` column) once, store everything, return the counters."""
+    """Parse a folder (or a DataFrame with a ``value`` column) once, store everything, return the counters.
+
+    Without ``run`` the rows are added as a run of their own.  With it, this batch of that run is replaced as a whole.
+    """
     flow.check(spark)
     lines = scan_lines(spark, source) if isinstance(source, str) else source
     observation = Observation()
-    flow.store(flow.outcomes(lines, observation), root, batch, reject_path)
+    flow.store(flow.outcomes(lines, observation), root, run or f"batch-{uuid.uuid4().hex}", batch, reject_path)
     return observation.get

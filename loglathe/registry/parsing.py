@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loglathe.functions.text import MAX_LINE_LENGTH
 from loglathe.operators.parse import (
     drop_blank,
     drop_oversize,
@@ -31,7 +32,7 @@ from loglathe.session import scratch_dir
 from loglathe.sources.event_lines import event_lines, mixed_lines, read_events
 from loglathe.sources.files import scan_lines
 
-MULTI = {f: f for f in ("application", "access", "syslog", "nginx_error", "custom_app")}
+MULTI = {f: f for f in ("application", "access", "syslog", "nginx_error", "custom_app", "json")}
 
 
 def lines(spark: SparkSession, sf_dir: str, fmt: str = "application") -> DataFrame:
@@ -89,7 +90,7 @@ _ADDRESS = rf"(?:^|[^0-9])({_OCTET}[.]{_OCTET}[.]{_OCTET}[.]{_OCTET})(?:[^0-9]|$
 @query(
     "grok_search",
     f"WITH {_DOCUMENT_LINES} SELECT doc_id, line_no, regexp_extract(value, '{_ADDRESS}', 1) AS ip FROM document_lines"
-    f" WHERE length(value) <= 10000 AND regexp_matches(value, '{_ADDRESS}')",
+    f" WHERE regexp_matches(value, '{_ADDRESS}')",
 )
 def _grok_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A pattern that may sit anywhere in a line, over all lines of all documents."""
@@ -110,7 +111,7 @@ def _document_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters over real prose, most of which is no log line."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     lines_of = docs.select("lang", F.explode(F.split("text", "\n", -1)).alias("value"))
-    return parse_counters(grok(lines_of, "%{WORD:key} %{INT:n:long}"), ["lang"])
+    return parse_counters(grok(lines_of, "%{WORD:key} %{INT:n:long}", max_length=MAX_LINE_LENGTH), ["lang"])
 
 
 # -- one query per format ------------------------------------------------------------------------------------------
@@ -149,7 +150,7 @@ def _grok_json_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {lines_cte('json')}, j AS (SELECT event_id, CASE WHEN length(value) <= 10000 AND json_valid(value)"
     " THEN CAST(value AS JSON) END AS v FROM lines)"
     " SELECT event_id, v->>'timestamp' AS \"timestamp\", v->>'level' AS level, v->>'service' AS service,"
-    " v->>'message' AS message FROM j WHERE v IS NOT NULL",
+    " v->>'message' AS message, CAST(v AS VARCHAR) AS json_data FROM j WHERE v IS NOT NULL",
 )
 def _parse_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(parse_lines(lines(spark, sf_dir, "json"), "json"), keep=["event_id"])
@@ -158,15 +159,23 @@ def _parse_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- several formats, optional parts -------------------------------------------------------------------------------
 
 _MIXED = (
-    "mixed AS (SELECT event_id, CASE event_id % 5 "
+    f"mixed AS (SELECT event_id, CASE event_id % {len(MULTI)} "
     + " ".join(f"WHEN {i} THEN '{f}'" for i, f in enumerate(MULTI))
-    + " END AS log_type, CASE event_id % 5 "
+    + f" END AS log_type, CASE event_id % {len(MULTI)} "
     + " ".join(f"WHEN {i} THEN {disturbed(LINE_SQL[f])}" for i, f in enumerate(MULTI))
     + " END AS value FROM events)"
 )
 
 
+#: lines of JSON that are good, of ``mixed``
+JSON_GOOD = "log_type = 'json' AND length(value) <= 10000 AND json_valid(value)"
+
+
 def _common(fmt: str) -> str:
+    if fmt == "json":
+        cells = [f"value->>'{c}' AS \"{c}\"" for c in ("timestamp", "level", "message")]
+        none = [f'CAST(NULL AS VARCHAR) AS "{c}"' for c in ("pid", "bytes")]
+        return f"SELECT event_id, log_type, {', '.join(cells + none)}, CAST(5 AS INTEGER) AS n_fields FROM mixed WHERE {JSON_GOOD}"
     regex, names, optional = REGEX_SQL[fmt]
     listed = ", ".join(f"'{n}'" for n in names)
     found = f"regexp_extract(value, '{regex}', [{listed}])"
@@ -204,3 +213,14 @@ def _grok_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An inline capture, an optional part and a declared type in one template."""
     parsed = grok(lines(spark, sf_dir, "syslog"), r"(?<host>[a-z]+[0-9]) app(?:\[%{INT:pid:long}\])?: %{WORD:word}")
     return flatten(parsed, keep=["event_id"])
+
+
+@query(
+    "flow_custom",
+    f"WITH {lines_cte('application')} SELECT event_id, regexp_extract(value, 'by user ([0-9]+)', 1) AS user, ts IS NULL AS undated"
+    f" FROM lines WHERE {status_sql('by user [0-9]+')} = 'OK'",
+)
+def _flow_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A template with a pattern name of its own."""
+    parsed = parse_lines(lines(spark, sf_dir), "by user %{ACCOUNT:user}", custom={"ACCOUNT": "[0-9]+"})
+    return keep_valid(parsed).select("event_id", F.col("fields.user").alias("user"), F.col("ts").isNull().alias("undated"))

@@ -10,10 +10,10 @@ from loglathe.functions.text import drop_empty_json, mask_from, mask_json_values
 from loglathe.operators.infer import infer_schema
 from loglathe.operators.parse import fields_map, flatten, keep_valid, parse_lines, parse_multi_format
 from loglathe.operators.route import good_rows, reject_envelope, rejects, replay_rejects
-from loglathe.operators.shape import GENERIC_COLUMNS, cast_fields, shape_rows
+from loglathe.operators.shape import GENERIC_COLUMNS, cast_fields, event_date, shape_rows
 from loglathe.registry.core import query
 from loglathe.registry.lines_sql import REGEX_SQL, lines_cte, parsed_cte
-from loglathe.registry.parsing import _MIXED, MULTI, lines
+from loglathe.registry.parsing import _MIXED, JSON_GOOD, MULTI, lines
 from loglathe.sources.event_lines import mixed_lines, read_events
 
 # -- fields --------------------------------------------------------------------------------------------------------
@@ -115,6 +115,32 @@ def _shape_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", "timestamp", F.date_format(utc, "yyyy-MM-dd HH:mm:ss").alias("event_time"))
 
 
+_DATES = {
+    "application": ("strftime(ts, '%Y-%-m-%-dT10:00:00Z')", "concat(year(ts), '-', month(ts), '-', day(ts), 'T10:00:00Z')"),
+    "access": ("strftime(ts, '%-d/%b/%Y:10:00:00 +0000')", "concat(day(ts), date_format(ts, '/MMM/yyyy'), ':10:00:00 +0000')"),
+    "syslog": ("strftime(ts, '%b %-d 10:00:00')", "concat(date_format(ts, 'MMM '), day(ts), ' 10:00:00')"),
+    "nginx_error": ("strftime(ts, '%Y/%-m/%-d 10:00:00')", "concat(year(ts), '/', month(ts), '/', day(ts), ' 10:00:00')"),
+    "custom_app": ("strftime(ts, '%Y-%-m-%-d 10:00:00,5')", "concat(year(ts), '-', month(ts), '-', day(ts), ' 10:00:00,5')"),
+}
+
+
+@query(
+    "event_dates",
+    "SELECT event_id, "
+    + ", ".join(f"{text} AS {f}_text, strftime(ts, '%Y-%m-%d') AS {f}_date" for f, (text, _) in _DATES.items())
+    + ", 'unknown' AS unreadable FROM events",
+)
+def _event_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates with one-digit days and months, as each format writes them."""
+    cells = {f: F.expr(text) for f, (_, text) in _DATES.items()}
+    return read_events(spark, sf_dir).select(
+        "event_id",
+        *[c.alias(f"{f}_text") for f, c in cells.items()],
+        *[event_date(c, f, 2024).alias(f"{f}_date") for f, c in cells.items()],
+        event_date(F.col("event_type"), "application").alias("unreadable"),
+    )
+
+
 # -- masking and JSON ----------------------------------------------------------------------------------------------
 
 
@@ -206,19 +232,23 @@ def _reject_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     "replay_rejects",
     f"WITH {parsed_cte('application')}, again AS (SELECT {_MILLIS} AS rejected_at,"
     " regexp_extract(value, 'malformed line ([0-9]+)', 1) AS line, value FROM parsed WHERE status NOT IN ('OK', 'BLANK'))"
-    " SELECT rejected_at, CASE WHEN length(value) > 10000 THEN 'TOO_LONG' WHEN line <> '' THEN 'OK' ELSE 'NO_MATCH' END"
-    " AS status, CASE WHEN length(value) <= 10000 THEN CAST(nullif(line, '') AS BIGINT) END AS line FROM again",
+    " SELECT rejected_at, CASE WHEN line <> '' OR length(value) > 10000 THEN 'OK' ELSE 'NO_MATCH' END AS status,"
+    " CAST(nullif(line, '') AS BIGINT) AS line, length(value) > 10000 AS was_long FROM again",
 )
 def _replay_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = reject_envelope(rejects(parse_lines(lines(spark, sf_dir), "application"), at="ts"))
-    again = replay_rejects(stored, "malformed line %{INT:line:long}")
-    return again.select("rejected_at", "status", "fields.line")
+    again = replay_rejects(stored, "(?:malformed line %{INT:line:long}|%{EXES:tail})", custom={"EXES": "x{10000}$"})
+    return again.select("rejected_at", "status", "fields.line", F.col("fields.tail").isNotNull().alias("was_long"))
 
 
 # -- schema inference ----------------------------------------------------------------------------------------------
 
 
-def _presence(fmt: str) -> str:
+def _presence(fmt: str) -> tuple[str, str]:
+    if fmt == "json":
+        cells = {n: f"value->>'{n}'" for n in ("timestamp", "level", "service", "message")} | {"json_data": "value"}
+        pairs = [f"SELECT '{n}' AS name, {cell} AS value FROM json_f" for n, cell in cells.items()]
+        return f"json_f AS (SELECT value FROM mixed WHERE {JSON_GOOD})", " UNION ALL ".join(pairs)
     regex, names, optional = REGEX_SQL[fmt]
     listed = ", ".join(f"'{n}'" for n in names)
     parts = [

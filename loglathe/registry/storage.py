@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglathe.operators.parse import parse_lines
+from loglathe.operators.infer import infer_schema, inferred_struct
+from loglathe.operators.parse import fields_map, keep_valid, parse_lines
 from loglathe.operators.quality import parse_counters
 from loglathe.operators.route import rejects, replay_rejects
 from loglathe.operators.shape import GENERIC_COLUMNS, generic_schema, shape_rows
 from loglathe.plans.flow import Flow, run_batch
 from loglathe.registry.core import query
-from loglathe.registry.lines_sql import parsed_cte
+from loglathe.registry.lines_sql import lines_cte, parsed_cte
 from loglathe.registry.parsing import MULTI, lines
 from loglathe.session import scratch_dir
 from loglathe.sinks.rejects import read_reject_text, write_reject_text
@@ -68,12 +71,20 @@ _MIXED_ROWS = {
     "syslog": ("f.message", "''", "strftime(ts, '%Y-%m-%d')"),
     "nginx_error": ("f.message", "f.level", "strftime(ts, '%Y-%m-%d')"),
     "custom_app": ("f.message", "f.level", "strftime(ts, '%Y-%m-%d')"),
+    "json": ("value->>'message'", "value->>'level'", "strftime(ts, '%Y-%m-%d')"),
 }
 
 
 def _mixed_sql() -> str:
     parts = []
     for i, (fmt, (message, level, day)) in enumerate(_MIXED_ROWS.items()):
+        if fmt == "json":
+            parts.append(
+                f"SELECT 'json' AS log_type, value->>'timestamp' AS \"timestamp\", {message} AS message, {level} AS level, {day}"
+                f" AS event_date FROM (WITH {lines_cte('json')} SELECT * FROM lines) WHERE length(value) <= 10000"
+                f" AND json_valid(value) AND event_id % {len(_MIXED_ROWS)} = {i}"
+            )
+            continue
         parts.append(
             f"SELECT '{fmt}' AS log_type, f.timestamp AS \"timestamp\", {message} AS message, {level} AS level,"
             f" {day} AS event_date FROM (WITH {parsed_cte(fmt)} SELECT * FROM parsed) WHERE status = 'OK'"
@@ -93,29 +104,90 @@ def _store_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flow.good_table(spark, root)
 
 
+def _typed_sql() -> str:
+    return (
+        f"SELECT log_type, \"timestamp\", substring(message, 1, 2) || repeat('*', greatest(length(message) - 2, 0)) AS message,"
+        f" CAST(NULL AS INTEGER) AS level, event_date FROM ({_mixed_sql()})"
+    )
+
+
+@query("store_mixed_typed", _typed_sql())
+def _store_mixed_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a type and a mask; levels are no numbers."""
+    flow = Flow(
+        {name: name for name in MULTI}, columns=("timestamp", "message", "level"), types={"level": "int"}, mask={"message": 2},
+        event_date_from="timestamp", year=2024,
+    )
+    root = scratch_dir(spark, "outcomes")
+    run_batch(spark, mixed_lines(read_events(spark, sf_dir), list(MULTI)), flow, root)
+    return flow.good_table(spark, root)
+
+
+@query("store_appended", f"{_GENERIC_ROWS} UNION ALL SELECT * FROM ({_GENERIC_ROWS})")
+def _store_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch run and a stream into one table: both stay."""
+    root, folder = scratch_dir(spark, "outcomes"), _written_lines(spark, sf_dir)
+    run_batch(spark, folder, _FLOW, root)
+    run_stream(spark, folder, _FLOW, root, scratch_dir(spark, "offsets"), every_minutes=None).awaitTermination()
+    return _FLOW.good_table(spark, root)
+
+
+@query("store_replaced", _GENERIC_ROWS)
+def _store_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch written with a pattern that fits too much, and then again with the right one."""
+    root, folder = scratch_dir(spark, "outcomes"), _written_lines(spark, sf_dir)
+    loose = Flow("%{GREEDYDATA:message}", "application", columns=GENERIC_COLUMNS)
+    run_batch(spark, folder, loose, root, run="nightly")
+    run_batch(spark, folder, _FLOW, root, run="nightly")
+    return _FLOW.good_table(spark, root)
+
+
+@query(
+    "table_from_inferred",
+    f"WITH {parsed_cte('access')} SELECT DISTINCT f.verb AS verb, CAST(f.response AS INTEGER) AS response,"
+    " strftime(ts, '%Y-%m-%d') AS event_date FROM parsed WHERE status = 'OK'",
+)
+def _table_from_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made from what the lines hold, then filled."""
+    parsed = parse_lines(lines(spark, sf_dir, "access"), "access")
+    some = fields_map(keep_valid(parsed)).select(F.map_filter("fields", lambda k, _: k.isin("verb", "response")).alias("fields"))
+    schema = inferred_struct(infer_schema(some, by_value=True))
+    folder = scratch_dir(spark, "table")
+    name = ensure_table(spark, f"inferred_{uuid.uuid4().hex}", schema, location=folder)
+    rows = shape_rows(parsed, "access", columns=["verb", "response"], types={"response": "int"}, event_date_from="timestamp")
+    append_table(rows.distinct(), name)
+    out = spark.read.schema(spark.table(name).schema).parquet(folder)
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 @query(
     "reject_text",
-    f"WITH {parsed_cte('syslog')} SELECT CAST(epoch_us(ts) // 1000 AS VARCHAR) AS rejected_at, value FROM parsed"
-    " WHERE status NOT IN ('OK', 'BLANK')",
+    f"WITH {parsed_cte('syslog')} SELECT CAST(epoch_us(ts) // 1000 AS VARCHAR) AS rejected_at, value,"
+    " CASE WHEN regexp_matches(value, 'malformed line [0-9]+') THEN 'OK' ELSE 'NO_MATCH' END AS status,"
+    " nullif(regexp_extract(value, 'malformed line ([0-9]+)', 1), '') AS line FROM parsed WHERE status NOT IN ('OK', 'BLANK')",
 )
 def _reject_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects written as text, read again and parsed by a pattern that fits most of them."""
     folder = scratch_dir(spark, "rejects")
     write_reject_text(rejects(parse_lines(lines(spark, sf_dir, "syslog"), "syslog"), at="ts"), folder)
-    return replay_rejects(read_reject_text(spark, folder), "syslog").select("rejected_at", "value")
+    again = replay_rejects(read_reject_text(spark, folder), "malformed line %{INT:line}")
+    return again.select("rejected_at", "value", "status", "fields.line")
 
 
 @query(
     "counters_by_file",
-    f"WITH {parsed_cte('nginx_error')} SELECT count(*) AS received, count(*) FILTER (status = 'BLANK') AS blank,"
+    f"WITH {parsed_cte('nginx_error')} SELECT event_type AS kind, count(*) AS received, count(*) FILTER (status = 'BLANK') AS blank,"
     " count(*) FILTER (status = 'OK') AS parsed_success, count(*) FILTER (status NOT IN ('OK', 'BLANK')) AS parsed_failed,"
-    " CAST(sum(strlen(value)) AS BIGINT) AS bytes FROM parsed",
+    " CAST(sum(strlen(value)) AS BIGINT) AS bytes FROM parsed GROUP BY 1",
 )
 def _counters_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Progress per file, added up (file names differ from run to run)."""
-    parsed = parse_lines(scan_lines(spark, _written_lines(spark, sf_dir, "nginx_error")), "nginx_error")
-    per_file = parse_counters(parsed, ["file_path"], "value")
-    names = [c for c in per_file.columns if c != "file_path"]
-    return per_file.agg(*[F.sum(c).alias(c) for c in names])
+    """Progress per folder of files, one for each type of event."""
+    folder = scratch_dir(spark, "kinds")
+    lines(spark, sf_dir, "nginx_error").select("value", "event_type").write.partitionBy("event_type").text(folder)
+    parsed = parse_lines(scan_lines(spark, folder), "nginx_error")
+    kind = F.regexp_extract("file_path", "event_type=([^/]+)/", 1).alias("kind")
+    return parse_counters(parsed, [kind], "value")
 
 
 @query("stream_good", _GENERIC_ROWS)

@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loglathe.operators.route import reject_envelope
+from loglathe.sinks.tables import batch_folder
 
 
-def write_reject_text(reject_table: DataFrame, path: str, batch: int | None = None) -> None:
-    """Append envelopes under ``path``; with a batch number the batch's own folder is replaced instead."""
-    envelopes = reject_envelope(reject_table)
-    if batch is None:
-        envelopes.write.mode("append").text(path)
+def write_reject_text(
+    reject_table: DataFrame, path: str, run: str | None = None, batch: int = 0, *, max_records_per_file: int = 0
+) -> None:
+    """Append envelopes under ``path``; with a run the folder of its batch is replaced instead.
+
+    A file ends after ``max_records_per_file`` envelopes (0: no limit).
+    """
+    writer = reject_envelope(reject_table).write.option("maxRecordsPerFile", str(max_records_per_file))
+    if run is None:
+        writer.mode("append").text(path)
     else:
-        envelopes.write.mode("overwrite").text(f"{path}/batch={batch}")
+        writer.mode("overwrite").text(batch_folder(path, run, batch))
 
 
 def read_reject_text(spark: SparkSession, path: str) -> DataFrame:

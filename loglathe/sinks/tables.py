@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_TABLE = "parsed_logs"
+#: marks columns that take no null; file formats keep no such constraint of their own
+REQUIRED = "required"
 GOOD, REJECT = "good", "reject"
 
+_RUN = re.compile(r"[A-Za-z0-9_.-]{1,100}")
+_PLACES = ("run", "batch", "outcome", "event_date")
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -76,7 +81,10 @@ def ensure_table(
     missing = [c for c in partition_by if c not in schema.names]
     if missing:
         raise ValueError(f"Partition columns not in the schema: {missing}")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    required = {f.name for f in schema.fields if not f.nullable and f.name not in partition_by}
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{REQUIRED}'" if f.name in required else "") for f in schema.fields
+    )
     options = (layout or Layout()).options()
     ddl = f"CREATE TABLE {name} ({columns}) USING {provider}"
     ddl += " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in options.items()) + ")"
@@ -91,16 +99,26 @@ def ensure_table(
 
 
 def append_table(df: DataFrame, name: str, *, distribution: str = "none") -> None:
-    """Append rows to an existing table, matching columns by name. ``distribution`` as in ``distribute``."""
+    """Append rows to an existing table, matching columns by name; a null in a required column ends the job.
+
+    ``distribution`` as in ``distribute``.
+    """
     table = df.sparkSession.table(name)
     differences = schema_differences(df.schema, table.schema)
     if differences:
         raise ValueError(f"Rows do not fit table {name}: " + "; ".join(differences))
     partitions = [c.name for c in df.sparkSession.catalog.listColumns(name) if c.isPartition]
-    rows = distribute(df, partitions, distribution).select(*table.columns)
+    required = [f.name for f in table.schema.fields if f.metadata.get("comment") == REQUIRED]
+    rows = distribute(df, partitions, distribution).select(*[_required(c) if c in required else F.col(f"`{c}`") for c in table.columns])
     rows.write.mode("append").insertInto(name)
 
 
+def _required(name: str) -> Column:
+    """The column; a null in it ends the job."""
+    message = F.lit(f"Required column {name} is null")
+    return F.when(F.col(f"`{name}`").isNull(), F.raise_error(message)).otherwise(F.col(f"`{name}`")).alias(name)
+
+
 def distribute(df: DataFrame, partition_by: Sequence[str], mode: str) -> DataFrame:
     """How rows reach the writing tasks.
 
@@ -117,44 +135,53 @@ def distribute(df: DataFrame, partition_by: Sequence[str], mode: str) -> DataFra
     raise ValueError(f"Unknown distribution: {mode}")
 
 
+def batch_folder(root: str, run: str, batch: int) -> str:
+    """Where one batch of one run lies."""
+    if not _RUN.fullmatch(run):
+        raise ValueError(f"Invalid run name: {run}")
+    return f"{root}/run={run}/batch={batch}"
+
+
 def write_outcomes(
-    outcomes: DataFrame, root: str, batch: int, *, layout: Layout | None = None, distribution: str = "none"
+    outcomes: DataFrame,
+    root: str,
+    run: str,
+    batch: int,
+    *,
+    layout: Layout | None = None,
+    distribution: str = "none",
 ) -> None:
     """Write good rows and rejects of one batch in a single pass over it.
 
-    Files land in ``root/outcome=good|reject/event_date=../batch=N``.  Writing the same batch again replaces its own
-    files and nothing else, so a replay adds no duplicates.
+    Files land in ``root/run=R/batch=N/outcome=good|reject/event_date=..``.  Writing the same batch of the same run again
+    replaces all that it left, good and rejected, whatever the dates and also when there are no rows now; nothing else is
+    touched.
     """
-    rows = distribute(outcomes, ("outcome", "event_date"), distribution).withColumn("batch", F.lit(batch).cast("long"))
+    rows = distribute(outcomes, ("outcome", "event_date"), distribution)
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static")
         .options(**(layout or Layout()).options())
-        .partitionBy("outcome", "event_date", "batch")
-        .parquet(root)
+        .partitionBy("outcome", "event_date")
+        .parquet(batch_folder(root, run, batch))
     )
 
 
 def read_outcomes(
-    spark: SparkSession, root: str, schema: T.StructType, outcome: str, batch: int | None = None
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    outcome: str,
+    run: str | None = None,
+    batch: int | None = None,
 ) -> DataFrame:
-    """One kind of outcome, of all batches or of one; only those folders are listed and read.
+    """One kind of outcome, of all batches or of one of a run; only those folders are listed and read.
 
-    ``schema`` holds the wanted columns, ``event_date`` and ``batch`` too if wanted.
+    ``schema`` holds the wanted columns, ``event_date``, ``run`` and ``batch`` too if wanted.  A folder that does not exist is an
+    error.
     """
-    full = T.StructType(
-        [
-            *[f for f in schema.fields if f.name not in ("event_date", "batch")],
-            T.StructField("outcome", T.StringType()),
-            T.StructField("event_date", T.StringType()),
-            T.StructField("batch", T.LongType()),
-        ]
-    )
-    folder = f"{root}/outcome={outcome}" + ("" if batch is None else f"/event_date=*/batch={batch}")
-    try:
-        rows = spark.read.schema(full).option("basePath", root).parquet(folder)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        rows = spark.createDataFrame([], full)  # no such outcome so far
-    return rows.select(*schema.names)
+    kept = [f for f in schema.fields if f.name not in _PLACES]
+    full = T.StructType([*kept, *[T.StructField(n, T.LongType() if n == "batch" else T.StringType()) for n in _PLACES]])
+    folder = root if run is None else batch_folder(root, run, batch or 0)
+    rows = spark.read.schema(full).option("basePath", root).parquet(folder)
+    return rows.where(F.col("outcome") == outcome).select(*schema.names)

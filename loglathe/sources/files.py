@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,10 +53,13 @@ def stream_lines(
 
 
 def log_type_from_path(types: dict[str, str], path_col: str = "file_path") -> Column:
-    """Log type by file path: the first entry of ``{log type: substring of the path}`` that fits."""
+    """Log type by file path: the first entry of ``{log type: substring of the path}`` that fits.
+
+    Paths come URL-encoded and are compared decoded.
+    """
     kind: Column | None = None
     for name, part in types.items():
-        hit = F.col(path_col).rlike(re.escape(part))
+        hit = F.contains(F.coalesce(F.try_url_decode(F.col(path_col)), F.col(path_col)), F.lit(part))
         kind = F.when(hit, F.lit(name)) if kind is None else kind.when(hit, F.lit(name))
     if kind is None:
         raise ValueError("No log types given")

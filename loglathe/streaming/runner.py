@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,16 +39,16 @@ def run_stream(
 ) -> StreamingQuery:
     """Watch ``source`` and store each batch in one pass.
 
-    The partition date is part of the streaming plan, where the current date is fixed per batch, and the store replaces
-    a batch by its number: a batch that is replayed after a failure leaves the same files.  Counters of each batch are
-    in the query's progress under ``parse_counters``.
+    The store keeps the batches of each stream apart by the stream's id, which lies in its checkpoint, and replaces a batch by
+    its number: a batch that is replayed after a failure leaves the same rows, and a stream with a new checkpoint adds to
+    what is there.  Counters of each batch are in the query's progress under ``parse_counters``.
     """
     flow.check(spark)
     lines = stream_lines(spark, source, **source_options) if isinstance(source, str) else source
     outcomes = flow.outcomes(lines, COUNTERS)
 
     def store(batch_rows: DataFrame, batch: int) -> None:
-        flow.store(batch_rows, root, batch, reject_path)
+        flow.store(batch_rows, root, stream_run(spark, checkpoint), batch, reject_path)
 
     return (
         outcomes.writeStream.foreachBatch(store)
@@ -56,6 +58,12 @@ def run_stream(
     )
 
 
+def stream_run(spark: SparkSession, checkpoint: str) -> str:
+    """The run name of a stream: the id that Spark has written to its checkpoint."""
+    text = spark.read.option("wholetext", "true").text(f"{checkpoint}/metadata").head()[0]
+    return "stream-" + json.loads(text)["id"]
+
+
 def stream_counters(parsed: DataFrame, by: list[str]) -> DataFrame:
     """Running counters per group; for update or complete output."""
     return parsed.groupBy(*by).agg(*counter_columns(F.col("status")))
@@ -67,15 +75,25 @@ def stream_rates(
     watermark: str = "2 minutes",
     window_seconds: int = RATE_WINDOW_SECONDS,
     slide_seconds: int = RATE_SLIDE_SECONDS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Records per second over sliding windows of event time; a window is final once the watermark has passed it."""
-    window = F.window(ts, f"{window_seconds} seconds", f"{slide_seconds} seconds")
+    """Records per second over sliding windows of event time, for append output.
+
+    Rows are counted per slide first, and these counts make the windows, so a row is never copied.  ``watermark`` says how late
+    a row may be: later ones are left out, and a window appears once the watermark has passed it.  The windows that are
+    still open when a stream ends are not emitted; ``records_per_second`` over the stored rows has them.
+    """
+    if window_seconds % slide_seconds:
+        raise ValueError("The window must be a whole number of slides")
+    slide = F.window(ts, f"{slide_seconds} seconds")
+    counts = rows.withWatermark(ts, watermark).groupBy(slide.alias("s"), *by).agg(F.count(F.lit(1)).alias("n"))
+    window = F.window(F.window_time("s"), f"{window_seconds} seconds", f"{slide_seconds} seconds")
     return (
-        rows.withWatermark(ts, watermark)
-        .groupBy(window.alias("w"))
-        .agg(F.count(F.lit(1)).alias("records"))
+        counts.groupBy(window.alias("w"), *by)
+        .agg(F.sum("n").alias("records"))
         .select(
             F.col("w.start").alias("window_start"),
+            *by,
             "records",
             (F.col("records") / F.lit(float(window_seconds))).alias("records_per_second"),
         )

@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,7 +67,11 @@ def test_mask_json_values(spark):
         '{"vuid":"abcd"},{"vuid":"efgh"}': '{"vuid":"abc*"},{"vuid":"efg*"}',  # every occurrence
         '{"vuid":"ab","x":"long text"}': '{"vuid":"ab","x":"long text"}',  # short values stay
         '{"vuid":"","x":"abcdef"}': '{"vuid":"","x":"abcdef"}',
-        '{"vuid":123456}': '{"vuid":123456}',
+        '{"vuid":123456}': '{"vuid":123***}',
+        '{"vuid" : "abcdefgh"}': '{"vuid" : "abc*****"}',
+        r'{"vuid":"a\"bcdefgh"}': r'{"vuid":"a\"b******"}',
+        r'{"vuid":"abc\"d\\","x":"abcdef"}': '{"vuid":"abc***","x":"abcdef"}',
+        '{"vuid":-1.25e7,"n":12345}': '{"vuid":-1.****,"n":12345}',
         "": "",
     }
     assert column(spark, list(cases), mask_json_values) == list(cases.values())
@@ -96,9 +102,29 @@ def test_event_dates(spark):
     ]
     for fmt, text, year, expected in cases:
         assert column(spark, [text], lambda c, f=fmt, y=year: event_date(c, f, y)) == [expected]
+    short = {
+        "application": "2024-1-5T10:30:00Z", "access": "5/Jan/2024:10:30:00 +0000", "nginx_error": "2024/1/5 10:30:00",
+        "custom_app": "2024-01-5 10:30:00",
+    }
+    for fmt, text in short.items():
+        assert column(spark, [text], lambda c, f=fmt: event_date(c, f)) == ["2024-01-05"]
+    unread = ["2024-13-45T00:00:00Z", "24-01-15T00:00:00Z", "", None]
+    assert column(spark, unread, lambda c: event_date(c, "application")) == ["unknown"] * 4
     today = spark.sql("SELECT date_format(current_date(), 'yyyy-MM-dd')").head()[0]
-    assert column(spark, ["2024-13-45T00:00:00Z", None], lambda c: event_date(c, "application")) == [today, today]
-    assert column(spark, ["Jan 15 10:30:00"], lambda c: event_date(c, "syslog")) == [today]
+    assert column(spark, unread, lambda c: event_date(c, "application", undated="today")) == [today] * 4
+
+
+def test_years_of_stamps_without_one(spark):
+    """This year, or the last for a date still to come."""
+    days = spark.sql("SELECT date_add(current_date(), d) AS d FROM VALUES (-200), (-1), (0), (2), (100) AS t(d)").collect()
+    texts = [r["d"].strftime("%b %d 10:30:00") for r in days]
+    today = days[2]["d"]
+    expected = []
+    for r in days:
+        d = r["d"].replace(year=today.year)
+        expected.append((d if d <= today + datetime.timedelta(days=1) else d.replace(year=today.year - 1)).isoformat())
+    assert column(spark, texts, lambda c: event_date(c, "syslog")) == expected
+    assert column(spark, texts, lambda c: F.date_format(event_time(c, "syslog"), "yyyy-MM-dd")) == expected
 
 
 def test_event_times(spark):
@@ -116,8 +142,6 @@ def test_event_times(spark):
             return F.date_format(event_time(c, f, y), "yyyy-MM-dd HH:mm:ss.SSS")
 
         assert column(spark, [text], at) == [expected]
-    with pytest.raises(ValueError, match="no year"):
-        event_time(F.lit("x"), "syslog")
 
 
 def test_rows_are_shaped_by_name(spark):

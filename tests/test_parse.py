@@ -158,6 +158,7 @@ def test_json_lines(parse_all):
     assert [s for s, _ in got] == ["OK", "BAD_JSON", "BAD_JSON", "BAD_JSON", "BLANK", "OK"]
     assert got[0][1] == {
         "timestamp": "2024-01-15T10:30:00Z", "level": "INFO", "service": "api", "message": "Request processed",
+        "json_data": '{"timestamp":"2024-01-15T10:30:00Z","level":"INFO","service":"api","message":"Request processed"}',
     }
     assert got[5][1]["level"] is None and got[1][1]["level"] is None
 
@@ -248,6 +249,17 @@ def test_several_formats_in_one_scan(spark):
         parse_multi_format(spark.createDataFrame(rows, "log_type string, value string"), {"a b": "application"})
 
 
+def test_json_among_several_formats_keeps_every_key(spark):
+    line = '{"level":"INFO","user_id":7,"trace":"x"}'
+    rows = [("js", line), ("js", '{"level":"INFO"'), ("js", "[1]"), ("app", line), ("js", " "), ("js", "{" + "x" * 10_000)]
+    df = spark.createDataFrame(rows, "log_type string, value string")
+    got = parse_multi_format(df, {"js": "json", "app": "application"}).collect()
+    assert [r["status"] for r in got] == ["OK", "BAD_JSON", "BAD_JSON", "NO_MATCH", "BLANK", "TOO_LONG"]
+    assert got[0]["fields"] == {"level": "INFO", "json_data": line}
+    only = parse_multi_format(df, {"js": "json"}).collect()
+    assert [r["status"] for r in only[:3]] == ["OK", "BAD_JSON", "BAD_JSON"]
+
+
 def test_fields_map_drops_absent_fields(spark):
     df = parse_lines(spark.createDataFrame([("Feb  3 01:02:03 s cron: ran",)], "value string"), "syslog")
     assert fields_map(df).head()["fields"] == {
