@@ -1,0 +1,220 @@
+"""Quality rules, personal data and secrets."""
+
+import hashlib
+import random
+import re
+import string
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from loglathe.llm.automata import Automaton
+from loglathe.llm.pii import luhn, personal_data, strict_spans
+from loglathe.llm.quality_lines import Figures, document_figures, keep_good, verdicts
+from loglathe.llm.secrets_scan import find_secrets
+from loglathe.llm.secrets_scan import strict_spans as secret_spans
+from loglathe.llm.textops import texts_of
+from loglathe.llm.trees import Boosted, calibrated_threshold
+from rows import ODD, words
+
+
+def brute_figures(text):
+    text = text or ""
+    w = words(text, lower=False)
+    windows = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    covered = {i + k for i, x in enumerate(windows) if windows.count(x) > 1 for k in range(3)}
+    seen, again = set(), 0
+    for line in text.split("\n"):
+        if words(line):
+            again += line in seen
+            seen.add(line)
+    return [len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), again, len(covered)]
+
+
+def test_figures_equal_brute_force():
+    rng = random.Random(1)
+    pieces = ["a", "b", "ab", "é日", "#", "* *", "\n", " ", "\t", "a b c", "<x>", "\r", "12", "\U0001f600"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(0, 60))) for _ in range(400)] + [t for _, t in ODD] + ["\n\n\n", "a", "a\n"]
+    f = Figures(texts_of(pa.array(texts, pa.string())))
+    got = np.stack([f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat_words], 1).tolist()
+    assert got == [brute_figures(t) for t in texts]
+
+
+def site(n, line="Read our other pages about this here now.", seed=2):
+    """Documents of a host: own lines, and in every second one a line that all of them have."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        lines = [" ".join("".join(rng.choices(string.ascii_lowercase, k=7)) for _ in range(15)) for _ in range(6)]
+        if i % 2:
+            lines.insert(rng.randrange(7), line.upper() if i % 4 == 1 else line)
+        rows.append((i, "\n".join(lines), "host"))
+    return rows
+
+
+def test_lines_of_a_host_are_removed_and_copies_stay(table_of):
+    line = "Read our other pages about this here now."
+    rows = site(80)
+    depleted = "\n".join([line] * 12)
+    rows += [(500, depleted, "host"), (501, depleted.replace("\n", "\n\n"), "other")]
+    copied = "\n".join(site(2, seed=7)[0][1].split("\n")[:5])
+    rows += [(1000 + i, copied, "host") for i in range(60)]
+    near = [x.split() for x in site(1, seed=9)[0][1].split("\n")]
+    rng = random.Random(4)
+    for i in range(60):
+        text = [list(x) for x in near]
+        text[rng.randrange(6)][rng.randrange(15)] = "edit" + "x" * i
+        rows.append((2000 + i, "\n".join(map(" ".join, text)), "host"))
+    got = {r["doc_id"]: r for r in verdicts(document_figures(table_of(rows)).cache()).collect()}
+    assert all(got[i]["removed_words"] == (8 if i % 2 else 0) and got[i]["kept"] for i in range(80))
+    assert got[500]["base_failed"] and not got[500]["kept"]
+    assert all(got[i]["kept"] and got[i]["removed_words"] == 0 for i in [*range(1000, 1060), *range(2000, 2060)])
+    left = {r["doc_id"]: r for r in keep_good(table_of(rows)).collect()}
+    assert set(left) == {i for i in got if got[i]["kept"]}
+    texts = {i: t for i, t, _ in rows}
+    for i in range(80):
+        expected = "\n".join(x for x in texts[i].split("\n") if x.lower() != line.lower())
+        assert (left[i]["text"], left[i]["n_chars"]) == (expected, len(expected))
+    assert left[1000]["text"] == copied
+
+
+def test_a_document_of_little_but_boilerplate_goes(table_of):
+    rows = []
+    for i in range(60):
+        own, *rest = site(1, seed=i)[0][1].split("\n")
+        shared = [" ".join("s" + "k" * k + "j" * j for j in range(12)) for k in range(9)]
+        body = [own[:20], *shared] if i % 3 == 0 else [own, *rest, shared[i % 9], shared[(i + 4) % 9]]
+        rows.append((i, "\n".join(body), None))
+    got = {r["doc_id"]: r["kept"] for r in verdicts(document_figures(table_of(rows)).cache()).collect()}
+    assert all(got[i] for i in range(60) if i % 3)
+
+
+def test_odd_rows_quality(table_of):
+    docs = table_of([(*r, None) for r in ODD]).withColumn("lines", F.lit(1)).withColumn("found", F.lit("x")).withColumn("uid", F.lit(1))
+    got = verdicts(document_figures(docs).cache())
+    assert got.count() == len(ODD) and got.where("kept").count() == 0
+    assert keep_good(docs).collect() == [] and keep_good(docs).columns == docs.columns
+    assert verdicts(document_figures(table_of([]))).collect() == []
+
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_pii(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            fits = {
+                "email": True,
+                "ip": all(int(x) <= 255 for x in m.group().split(".")) if kind == "ip" else False,
+                "card": 13 <= len(digits) <= 19 and luhn(digits),
+                "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if fits:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def test_strict_spans_equal_plain_regexes():
+    rng = random.Random(3)
+    pieces = ["a", "@", ".", "b.c", "-", "x@y.z", "+1", "12", " ", "(", "1.2.3.4", "255", "256.1.1.1", "é", "4111111111111111", "4111 1111 1111 1111", "+49 (30) 1234567", "\n", "%", "0"]
+    for _ in range(6000):
+        text = "".join(rng.choices(pieces, k=rng.randrange(1, 14)))
+        assert strict_spans(text) == plain_pii(text), repr(text)
+
+
+def test_long_hostile_texts_take_no_time():
+    for text in ("a" * 200_000, "1" * 200_000, "1." * 100_000, "@" * 100_000, "a." * 100_000 + "@", "+1" * 100_000, "1 " * 100_000, "token " * 50_000, "f" * 200_000):
+        strict_spans(text)
+        secret_spans(text)
+
+
+def private_rows(n=400):
+    rng = random.Random(4)
+    rows = []
+    for i in range(n):
+        extra = [
+            f"mail me u{i}@host{i % 9}.example.com now", f"call +1 (5{i % 90:02d}) 555-01{i % 90:02d} now", f"number {rng.randrange(10**15, 10**16)} here",
+            f"host 10.{i % 255}.3.4 up", "version 3.400.2.1 out", "nothing at all",
+        ][i % 6]
+        rows.append((i, f"some words before {extra} and after", "s"))
+    return rows
+
+
+def test_personal_data(table_of):
+    rows = private_rows()
+    docs = table_of([*rows, *[(1000 + n, t, None) for n, (_, t) in enumerate(ODD)]]).withColumn("strict", F.lit(1))
+    got = {r["doc_id"]: r for r in personal_data(docs).collect()}
+    assert len(got) == len(rows) + len(ODD)
+    for i, text, _ in rows:
+        base = plain_pii(text)
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        r = got[i]
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in PATTERNS] == [sum(s[0] == k for s in base) for k in PATTERNS]
+        assert set(joined.split(",")) <= set(r["spans"].split(",")) or not joined
+    assert all(got[i]["spans"] == "" for i in range(5, 400, 6)) and got[1000]["spans"] == ""
+    assert personal_data(table_of([])).collect() == []
+
+
+def test_trees_learn_and_calibrate():
+    r = np.random.default_rng(5)
+    x = r.random((3000, 5))
+    y = ((x[:, 0] > 0.6) ^ (x[:, 3] < 0.3)).astype(float)
+    p = Boosted().fit(x[:2000], y[:2000]).probability(x[2000:])
+    assert ((p > 0.5) == y[2000:]).mean() > 0.97
+    cut = calibrated_threshold(p, y[2000:], 0.99)
+    assert y[2000:][p >= cut].mean() >= 0.99 and calibrated_threshold(p, np.zeros(1000), 0.9) == 2.0
+
+
+def plain_secrets(text):
+    out = []
+    for m in re.finditer(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+        if len(m[2]) >= 6:
+            out.append((m.start(), 0, m.end()))
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 24]
+    return [(("assign", "access", "hex")[k], a, b) for a, k, b in sorted(out)]
+
+
+def test_strict_secrets_equal_plain_regexes():
+    rng = random.Random(6)
+    pieces = ["token", "API_key", "apikey", "pass", "word", "Passwd", "ſecret", "secret", "=", ": ", '"', "'", " ", "abcdef", "0123456789abcdef" * 2, "AKIA", "ABCDEFGH12345678", "é", "x.y", "\n"]
+    for _ in range(6000):
+        text = "".join(rng.choices(pieces, k=rng.randrange(1, 12)))
+        assert [s[:3] for s in secret_spans(text)] == plain_secrets(text), repr(text)
+
+
+def test_secrets_of_known_format_are_added(table_of):
+    rng = random.Random(7)
+    hexes = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    keys = lambda: "AKIA" + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16))
+    rows = [(i, f'some words token = "{hexes(40)}" and more ordinary_words behind') for i in range(200)]
+    rows += [(200 + i, f"a key {keys()} in the text of ordinary-words") for i in range(200)]
+    rows += [(500, "odd " + hexes(10) + "-" + hexes(22) + " here"), (501, "plain words and thisisaverylongordinaryword"), (502, None)]
+    got = {r["doc_id"]: r for r in find_secrets(table_of(rows).withColumn("word", F.lit(1))).collect()}
+    assert all(got[i]["n_assign"] == 1 and got[i]["n_hex"] == 1 for i in range(200)) and all(got[200 + i]["n_access"] == 1 for i in range(200))
+    for i, text in rows:
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in plain_secrets(text or ""))
+        assert got[i]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+    assert got[500]["n_added"] == 1 and got[501]["spans"] == "" and got[502]["spans"] == ""
+    odd = find_secrets(table_of(ODD)).collect()
+    assert len(odd) == len(ODD) and {r["spans"] for r in odd} == {""}
+    assert find_secrets(table_of([])).collect() == []
+
+
+def test_automata_merge_what_behaves_alike():
+    rng = random.Random(8)
+    examples = ["U" * 4 + "".join(rng.choices("Ud", k=rng.randrange(8, 16))) for _ in range(600)]
+    model = Automaton(examples)
+    assert len(model.settled) < 40 < len(model.states)
+    inside, outside = "UUUU" + "UdUdUUdd", "dddd" + "llllllll"
+    assert model.log2(inside) > model.log2(outside) + 20
+    assert Automaton([]).log2("abc") < -30
