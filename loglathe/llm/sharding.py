@@ -16,7 +16,6 @@ from loglathe.llm.common import query, stored, table
 
 SLOTS = 8192
 RECORD_BYTES = 16
-TOLERANCE = 0.002
 
 
 def record_bytes(text: Column) -> Column:
@@ -37,7 +36,7 @@ def edit_slot_map(weights: DataFrame, shards: int, current: DataFrame | None = N
     """``version, vslot, shard, bytes, records``: where each slot of ``weights`` goes when there are ``shards`` shards.
 
     ``current`` is the map before (version, vslot, shard).  A shard keeps its slots, largest first, while they fit in an equal share
-    of all bytes plus a tolerance; the others, new slots, and slots of shards that are gone are dealt to the emptiest shard.
+    of all bytes; the others, new slots, and slots of shards that are gone are dealt to the emptiest shard.
     """
     if current is None:
         placed = weights.withColumn("was", F.lit(None).cast("int")).withColumn("version", F.lit(0))
@@ -45,7 +44,7 @@ def edit_slot_map(weights: DataFrame, shards: int, current: DataFrame | None = N
         known = current.select("vslot", F.col("shard").alias("was"), "version")
         placed = weights.join(known, "vslot", "left")
     order = Window.partitionBy("was").orderBy(F.desc("bytes"), "vslot")
-    share = F.sum("bytes").over(Window.partitionBy(F.lit(0))) / shards * (1 + TOLERANCE)
+    share = F.sum("bytes").over(Window.partitionBy(F.lit(0))) / shards
     stays = (F.col("was") < shards) & (F.sum("bytes").over(order) <= share)
     rows = placed.withColumn("share", share).withColumn("stays", F.coalesce(stays, F.lit(False)))
     slot = F.struct((-F.col("bytes")).alias("minus"), "vslot", "was", "bytes", "records", "stays")
