@@ -90,9 +90,10 @@ def lines_cte(fmt: str) -> str:
     return f"lines AS (SELECT event_id, ts, event_type, user_id, {disturbed(LINE_SQL[fmt])} AS value FROM events)"
 
 
-def status_sql(regex: str, value: str = "value", miss: str = "NO_MATCH") -> str:
+def status_sql(regex: str, value: str = "value", miss: str = "NO_MATCH", limited: bool = True) -> str:
+    long = f" WHEN length({value}) > 10000 THEN 'TOO_LONG'" if limited else ""
     return (
-        f"CASE WHEN regexp_full_match({value}, '[\\x00-\\x20]*') THEN 'BLANK' WHEN length({value}) > 10000 THEN 'TOO_LONG'"
+        f"CASE WHEN regexp_full_match({value}, '[\\x00-\\x20]*') THEN 'BLANK'{long}"
         f" WHEN regexp_matches({value}, '{regex}') THEN 'OK' ELSE '{miss}' END"
     )
 

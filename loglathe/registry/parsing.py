@@ -139,7 +139,7 @@ for _name, _fmt in {
 
 @query(
     "grok_json_capture",
-    f"WITH {lines_cte('json')} SELECT event_id, value AS json_data FROM lines WHERE {status_sql('.*')} = 'OK'",
+    f"WITH {lines_cte('json')} SELECT event_id, value AS json_data FROM lines WHERE {status_sql('.*', limited=False)} = 'OK'",
 )
 def _grok_json_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(grok(lines(spark, sf_dir, "json"), FORMATS["json"].pattern), keep=["event_id"])
@@ -205,7 +205,7 @@ def _parse_multi_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "grok_optional",
-    f"WITH {lines_cte('syslog')}, p AS (SELECT event_id, {status_sql('([a-z]+[0-9]) app(?:.([0-9]+).)?: ([a-z]+)')} AS status,"
+    f"WITH {lines_cte('syslog')}, p AS (SELECT event_id, {status_sql('([a-z]+[0-9]) app(?:.([0-9]+).)?: ([a-z]+)', limited=False)} AS status,"
     r" regexp_extract(value, '([a-z]+[0-9]) app(?:\[([0-9]+)\])?: ([a-z]+)', ['host', 'pid', 'word']) AS f FROM lines)"
     " SELECT event_id, f.host AS host, CAST(nullif(f.pid, '') AS BIGINT) AS pid, f.word AS word FROM p WHERE status = 'OK'",
 )
