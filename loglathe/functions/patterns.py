@@ -182,6 +182,8 @@ def _describe(template: str, regex: str, slots: list[tuple[str, str | None]]) ->
     optional: dict[str, bool] = {}
     types: dict[str, str | None] = {}
     for slot, (name, type_name) in enumerate(slots):
+        if f"f{slot}" not in groups:
+            raise ValueError(f"Can't tell the fields of this pattern apart (a comment?): {template}")
         number, may_be_absent = groups[f"f{slot}"]
         if name not in numbers:
             order.append(name)
@@ -202,6 +204,10 @@ def _scan_groups(regex: str) -> tuple[dict[str, tuple[int, bool]], int]:
     i = 0
     while i < len(regex):
         ch = regex[i]
+        if regex.startswith("\\Q", i):
+            quoted = regex.find("\\E", i)
+            i = len(regex) if quoted < 0 else quoted + 2
+            continue
         if ch == "\\":
             i += 2
             continue

@@ -20,6 +20,7 @@ class LogFormat:
     time_format: str | None = None  # how ``timestamp`` is written; None = ISO 8601
     json_schema: T.StructType | None = None  # set when the captured text is JSON to be expanded
     custom: tuple[tuple[str, str], ...] = ()  # own pattern names
+    parts: tuple[str, ...] = ()  # fixed texts that every line of the format holds
 
     @property
     def compiled(self) -> CompiledPattern:
@@ -42,6 +43,7 @@ HTTP_TIME = "dd/MMM/yyyy:HH:mm:ss Z"
 
 _ISO_DATE = (r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})(?![0-9])", "$1-$2-$3", "yyyy-M-d")
 _HTTP_DATE = (r"^([0-9]{1,2})/([A-Za-z]{3})[a-z]*/([0-9]{4})(?![0-9])", "$3-$2-$1", "yyyy-MMM-d")
+_HTTP_PARTS = (" [", '] "')
 _SYSLOG_DATE = (r"^([A-Za-z]{3})[a-z]* +([0-9]{1,2})(?![0-9])", "$1-$2", "MMM-d")
 _SLASH_DATE = (r"^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})(?![0-9])", "$1-$2-$3", "yyyy-M-d")
 
@@ -59,9 +61,9 @@ FORMATS: dict[str, LogFormat] = {
             "%{TIMESTAMP_ISO8601:timestamp} %{LOGLEVEL:level} %{GREEDYDATA:message}",
             *_ISO_DATE,
         ),
-        LogFormat("access", "%{COMBINEDAPACHELOG}", *_HTTP_DATE, HTTP_TIME),
+        LogFormat("access", "%{COMBINEDAPACHELOG}", *_HTTP_DATE, HTTP_TIME, parts=_HTTP_PARTS),
         LogFormat(
-            "access_combined", "%{COMMONAPACHELOG} %{QS:referrer} %{QS:agent}", *_HTTP_DATE, HTTP_TIME
+            "access_combined", "%{COMMONAPACHELOG} %{QS:referrer} %{QS:agent}", *_HTTP_DATE, HTTP_TIME, parts=_HTTP_PARTS
         ),
         LogFormat("syslog", "%{SYSLOGBASE} %{GREEDYDATA:message}", *_SYSLOG_DATE, "MMM d HH:mm:ss"),
         LogFormat("json", "%{GREEDYDATA:json_data}", *_ISO_DATE, json_schema=JSON_LOG_SCHEMA),

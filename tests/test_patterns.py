@@ -71,3 +71,9 @@ def test_presets_have_the_documented_fields():
     ]
     assert FORMATS["nginx_error"].compiled.names == ["timestamp", "level", "pid", "message"]
     assert FORMATS["custom_app"].compiled.names == ["timestamp", "level", "service", "message"]
+
+
+def test_quoted_text_and_comments():
+    assert compile_pattern(r"\Q(a)(\E(?<n>[0-9]+)").captures[0].groups == (1,)
+    with pytest.raises(ValueError, match="fields of this pattern"):
+        compile_pattern("(?x) (?# ( ) (?<n>[0-9]+) # (")

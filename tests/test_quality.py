@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -74,7 +75,9 @@ def test_health_aggregates_by_hash_first(spark):
     df = spark.createDataFrame(random_rows(1, ["a"], 10, {"a": 0.5}), ROWS)
     got = health_status(df, ["source"], F.col("ok"), F.col("error"), "ts", "id", F.current_timestamp())
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("HashAggregate") == 2  # the row-sized step, partial and final
+    # one row per group and task is shuffled, whatever the texts; these are looked up at one position a group
+    assert "partial_count_if" in plan or "partial_count" in plan
+    assert not re.search(r"Aggregate\(keys=\[[^]]*error", plan) and "partial_max(__error" in plan
 
 
 def streaks(rows):

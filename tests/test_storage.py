@@ -97,6 +97,9 @@ def test_a_replaced_batch_leaves_nothing_behind(spark, folder):
     open(f"{folder}/none/empty.log", "w").close()
     run_batch(spark, f"{folder}/none", FLOW, root, run="r", reject_path=texts)
     assert stored(spark, root) == ([], [])
+    with open(f"{folder}/none/empty.log", "w") as f:
+        f.write("  \n\n")
+    assert run_batch(spark, f"{folder}/none", FLOW, root)["received"] == 2
 
 
 def test_streams_and_runs_share_a_root(spark, folder):
