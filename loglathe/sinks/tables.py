@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loglathe.sinks.merge import is_replaced, visible
+
 DEFAULT_TABLE = "parsed_logs"
 #: marks columns that take no null; file formats keep no such constraint of their own
 REQUIRED = "required"
@@ -157,6 +159,8 @@ def write_outcomes(
     replaces all that it left, good and rejected, whatever the dates and also when there are no rows now; nothing else is
     touched.
     """
+    if is_replaced(outcomes.sparkSession, root, run, batch):
+        raise ValueError(f"Batch {batch} of run {run} has been merged with others and can't be replaced")
     rows = distribute(outcomes, ("outcome", "event_date"), distribution)
     (
         rows.write.mode("overwrite")
@@ -184,4 +188,5 @@ def read_outcomes(
     full = T.StructType([*kept, *[T.StructField(n, T.LongType() if n == "batch" else T.StringType()) for n in _PLACES]])
     folder = root if run is None else batch_folder(root, run, batch or 0)
     rows = spark.read.schema(full).option("basePath", root).parquet(folder)
-    return rows.where(F.col("outcome") == outcome).select(*schema.names)
+    seen = (F.col("outcome") == outcome) if run is not None else (F.col("outcome") == outcome) & visible(spark, root)
+    return rows.where(seen).select(*schema.names)

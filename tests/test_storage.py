@@ -10,6 +10,7 @@ from loglathe.operators.parse import parse_lines
 from loglathe.operators.shape import GENERIC_COLUMNS, generic_schema, shape_rows
 from loglathe.plans.flow import Flow, run_batch
 from loglathe.session import scratch_dir
+from loglathe.sinks.merge import merge_batches, remove_replaced, visible
 from loglathe.sinks.rejects import read_reject_text
 from loglathe.sinks.tables import Layout, append_table, ensure_table, table_name
 from loglathe.sources.files import log_type_from_path, scan_lines, stream_lines
@@ -115,6 +116,34 @@ def test_streams_and_runs_share_a_root(spark, folder):
     assert stored(spark, root) == (sorted(good * 2), sorted(bad * 2))
 
 
+def test_merged_batches_read_the_same(spark, folder):
+    lines = []
+    for i in range(5):
+        lines += write_lines(f"{folder}/in", f"{i}.log", 40 * i)
+    root = f"{folder}/out"
+    run_stream(spark, f"{folder}/in", FLOW, root, f"{folder}/s", every_minutes=None, max_files_per_batch=1).awaitTermination()
+    run = next(d for d in os.listdir(root) if d.startswith("run=stream")).removeprefix("run=")
+
+    def files():
+        kept = spark.read.parquet(root).where(visible(spark, root))
+        return len({r[0] for r in kept.select("_metadata.file_path").collect()})
+
+    before = files()
+    # a merge that stopped before its list was written
+    lost = spark.read.option("basePath", root).parquet(f"{root}/run={run}/batch=0").drop("run", "batch")
+    lost.write.partitionBy("outcome", "event_date").parquet(f"{root}/run=merged-lost/batch=0")
+    assert stored(spark, root) == expected(lines)
+    assert merge_batches(spark, root, run, 3) is not None and merge_batches(spark, root, run, 3) is None
+    assert stored(spark, root) == expected(lines) and files() < before
+    assert remove_replaced(spark, root) == 4 and not os.path.exists(f"{root}/run={run}/batch=0")
+    assert stored(spark, root) == expected(lines)
+    with pytest.raises(ValueError, match="has been merged"):
+        run_batch(spark, f"{folder}/in", FLOW, root, run=run, batch=2)
+    write_lines(f"{folder}/in", "9.log", 400)
+    run_stream(spark, f"{folder}/in", FLOW, root, f"{folder}/s", every_minutes=None).awaitTermination()
+    assert len(stored(spark, root)[0]) > len(expected(lines)[0])
+
+
 def test_a_wrong_root_is_an_error(spark, folder):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         FLOW.good_table(spark, f"{folder}/nowhere").count()
