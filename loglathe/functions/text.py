@@ -79,14 +79,49 @@ def json_object(col: Column, element_type: str) -> Column:
 
 
 def drop_empty_json(col: Column) -> Column:
-    """JSON object text without its null and blank top-level values; null when the text is not a JSON object."""
+    """JSON object text without its null and blank top-level values; null when the text is not a JSON object.
+
+    Numbers may be spelled anew (``1.50`` as ``1.5``), yet keep their value: integers of any length stay as they are written, and an
+    object with a number that no double can hold is null as well.
+    """
+    read = json_object(col, "map<string,variant>")
     kept = F.map_filter(
-        json_object(col, "map<string,variant>"),
+        read,
         lambda _, v: v.isNotNull()
         & ~F.is_variant_null(v)
         & (F.coalesce(F.btrim(_variant_text(v), F.lit(_BLANK_CHARS)), F.lit("?")) != ""),
     )
-    return F.to_json(kept)
+    too_large = F.exists(F.map_values(kept), lambda v: (F.schema_of_variant(v) == "DOUBLE") & (F.abs(_double(v)) == float("inf")))
+    return (
+        F.when(col.rlike("[0-9]{38}"), _as_written(col, kept))
+        .when(col.rlike("[eE][+]?[0-9]{3}") & too_large, None)
+        .otherwise(F.to_json(kept))
+    )
+
+
+def _double(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "double")
+
+
+def _as_written(col: Column, kept: Column) -> Column:
+    """The members of ``kept`` as JSON text, numbers and nested values as ``col`` has them."""
+    texts = json_object(col, "map<string,string>")
+    both = F.transform(F.array(F.struct(kept.alias("kept"), texts.alias("texts"))), lambda x: _members(x["kept"], x["texts"]))
+    return both[0]
+
+
+def _members(kept: Column, texts: Column) -> Column:
+    def member(entry: Column) -> Column:
+        text = F.element_at(texts, entry["key"])
+        value = F.when(F.schema_of_variant(entry["value"]) == "STRING", _quoted(text)).otherwise(text)
+        return F.concat(_quoted(entry["key"]), F.lit(":"), value)
+
+    return F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(kept), member), ","), F.lit("}"))
+
+
+def _quoted(text: Column) -> Column:
+    listed = F.to_json(F.array(text))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
 
 def _variant_text(v: Column) -> Column:

@@ -88,6 +88,10 @@ def test_drop_empty_json(spark):
         '[{"a":1}]': None,
         "": None,
         '{"tab":"\\t\\n","z":0}': '{"z":0}',
+        '{"n":12345678901234567890123456789012345678901234567890,"b":null,"s":"1e5"}':
+            '{"n":12345678901234567890123456789012345678901234567890,"s":"1e5"}',
+        '{"e":1e400,"x":"1e400"}': None,
+        '{"x":"1e400","y":1e300,"z":""}': '{"x":"1e400","y":1.0E300}',
     }
     assert column(spark, list(cases), drop_empty_json) == list(cases.values())
 
