@@ -16,10 +16,12 @@ names it has been committed by Spark, so attempts that failed leave nothing that
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,7 @@ END_ID = 2
 MAGIC = b"TOKPACK1"
 BLOCK_IDS = 1 << 16
 #: distinct words whose ids a worker remembers, and the longest of them
-KNOWN_WORDS, KNOWN_LENGTH = 300_000, 48
+KNOWN_WORDS, KNOWN_LENGTH = 500_000, 48
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
@@ -148,37 +150,75 @@ class TokenReader:
         return np.concatenate([np.zeros(0, np.uint32), *self.pieces(doc)])
 
 
+#: letters of Latin-1 and then ASCII signs: the tokenizer parts such a word there, and lower case has as many letters
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
 class WordEncoder:
-    """Ids of whole texts. The tokenizer never joins across blanks, so words are encoded once and remembered."""
+    """Ids of whole texts. The tokenizer never joins across blanks, so words are encoded once and remembered.
+
+    Plain words go to the model of the tokenizer by themselves, in the form that its normalizer and pre-tokenizer give them;
+    all others go through the whole tokenizer.
+    """
 
     def __init__(self, tokenizer: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.model = Tokenizer.from_file(tokenizer if os.path.isabs(tokenizer) else public_tokenizers.path(tokenizer))
-        self.bits = max(1, (self.model.get_vocab_size() - 1).bit_length())
+        self.whole = Tokenizer.from_file(tokenizer if os.path.isabs(tokenizer) else public_tokenizers.path(tokenizer))
+        self.model = self.whole.model
+        self.bytes_as_letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bits = max(1, (self.whole.get_vocab_size() - 1).bit_length())
         self.known: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        encoded = self.model.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(e.ids, np.uint32).tobytes() for e in encoded]
+        self.parts: dict[str, bytes] = {}
+        # only where the model alone gives what the tokenizer gives
+        self.plain = all(self._letters(w) == self._full(w) for w in ("the", "thenation", "éàüß", "zzqxj"))
+
+    def _full(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        if not word.isascii():
+            word = self.bytes_as_letters.pre_tokenize_str(word)[0][0]
+        return np.array([t.id for t in self.model.tokenize(word)], np.uint32).tobytes()
+
+    def _part(self, text: str, encode: Callable[[str], bytes]) -> bytes:
+        ids = self.parts.get(text)
+        if ids is None:
+            ids = encode(text)
+            if len(self.parts) < KNOWN_WORDS and len(text) <= KNOWN_LENGTH:
+                self.parts[text] = ids
+        return ids
+
+    def _word(self, raw: bytes) -> bytes:
+        text = raw.decode()
+        m = _PLAIN.fullmatch(text) if self.plain else None
+        if m is None:
+            return self._full(text)
+        ids = self._part(m[1].lower(), self._letters)
+        return ids + self._part(m[2], self._full) if m[2] else ids
 
     def batch(self, column: pa.Array) -> Iterator[np.ndarray]:
         texts = texts_of(column)
         raw = texts.data.tobytes()
         for a, b in zip(texts.offsets[:-1].tolist(), texts.offsets[1:].tolist(), strict=True):
             words = raw[a:b].split()  # at exactly the blanks of ASCII
-            new = list(set(words).difference(self.known))
-            ids = dict(zip(new, self._encode(new), strict=True)) if new else {}
+            new = set(words).difference(self.known)
+            if not new:
+                yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.uint32)
+                continue
+            ids = {w: self._word(w) for w in new}
             if len(self.known) < KNOWN_WORDS:
                 self.known.update((w, i) for w, i in ids.items() if len(w) <= KNOWN_LENGTH)
-            if ids:
-                known = self.known
-                packed = b"".join([ids[w] if w in ids else known[w] for w in words])
-            else:
-                packed = b"".join(map(self.known.__getitem__, words))
-            yield np.frombuffer(packed, np.uint32)
+            known = self.known
+            yield np.frombuffer(b"".join([ids[w] if w in ids else known[w] for w in words]), np.uint32)
+
+
+@lru_cache(maxsize=2)
+def word_encoder(tokenizer: str) -> WordEncoder:
+    """One per worker, which serves many tasks."""
+    return WordEncoder(tokenizer)
 
 
 def write_token_files(docs: DataFrame, folder: str, *, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
@@ -195,7 +235,7 @@ def write_token_files(docs: DataFrame, folder: str, *, tokenizer: str = TOKENIZE
             if not batch.num_rows:
                 continue
             if writer is None:
-                encoder = WordEncoder(tokenizer)
+                encoder = word_encoder(tokenizer)
                 writer = TokenWriter(name, encoder.bits)
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder.batch(batch["text"]), strict=True):
                 writer.add(doc_id, np.append(ids, np.uint32(end_id)))
