@@ -200,20 +200,20 @@ def keep_good(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = rows.withColumn("key", uid(F.col("row.text").cast("string")))
     same = (F.col("key") == F.col("_uid")) & F.col("row.doc_id").eqNullSafe(F.col("_doc_id")) & F.col("row.source").eqNullSafe(F.col("_source"))
-    good = rows.join(verdict, same).select("row.*", F.transform("found", lambda x: x["line"]).alias("_found"))
+    good = rows.join(verdict, same).select("row", F.transform("found", lambda x: x["line"]).alias("found"))
+    names = docs.columns
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        names = [n for n in batch.schema.names if n != "_found"]
-        columns = {n: batch[n] for n in names}
-        found = batch["_found"].to_pylist()
+        columns = dict(zip(names, batch["row"].flatten(), strict=True))
+        found = batch["found"].to_pylist()
         if any(found):
-            texts = batch["text"].to_pylist()
+            texts = columns["text"].to_pylist()
             texts = [without_lines(t, set(f)) if f else t for t, f in zip(texts, found, strict=True)]
-            columns["text"] = pa.array(texts, batch["text"].type)
             if "n_chars" in columns:
-                sizes = [len(t) if f else n for t, f, n in zip(texts, found, batch["n_chars"].to_pylist(), strict=True)]
-                columns["n_chars"] = pa.array(sizes, batch["n_chars"].type)
-        return pa.record_batch([columns[n] for n in names], names=names)
+                sizes = [len(t) if f else n for t, f, n in zip(texts, found, columns["n_chars"].to_pylist(), strict=True)]
+                columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
+            columns["text"] = pa.array(texts, columns["text"].type)
+        return pa.record_batch(list(columns.values()), names=names)
 
     small_batches(docs.sparkSession)
     return map_arrow(good, run, docs.schema)

@@ -70,7 +70,9 @@ def test_lines_of_a_host_are_removed_and_copies_stay(table_of):
     assert all(got[i]["removed_words"] == (8 if i % 2 else 0) and got[i]["kept"] for i in range(80))
     assert got[500]["base_failed"] and not got[500]["kept"]
     assert all(got[i]["kept"] and got[i]["removed_words"] == 0 for i in [*range(1000, 1060), *range(2000, 2060)])
-    left = {r["doc_id"]: r for r in keep_good(table_of(rows)).collect()}
+    clash = table_of(rows).withColumn("_found", F.lit("x")).withColumn("row", F.col("doc_id"))
+    left = {r["doc_id"]: r for r in keep_good(clash).collect()}
+    assert all(r["row"] == i and r["_found"] == "x" for i, r in left.items())
     assert set(left) == {i for i in got if got[i]["kept"]}
     texts = {i: t for i, t, _ in rows}
     for i in range(80):
@@ -92,6 +94,7 @@ def test_a_document_of_little_but_boilerplate_goes(table_of):
 
 def test_odd_rows_quality(table_of):
     docs = table_of([(*r, None) for r in ODD]).withColumn("lines", F.lit(1)).withColumn("found", F.lit("x")).withColumn("uid", F.lit(1))
+    docs = docs.withColumn("row", F.lit(1)).withColumn("_found", F.lit(None).cast("string"))
     got = verdicts(document_figures(docs).cache())
     assert got.count() == len(ODD) and got.where("kept").count() == 0
     assert keep_good(docs).collect() == [] and keep_good(docs).columns == docs.columns
