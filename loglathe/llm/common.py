@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from loglathe.session import scratch_dir
@@ -58,6 +58,19 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
     return df.mapInArrow(run, schema)
 
 
+def bounded_sample(df: DataFrame, by: Column, size: int) -> list[Row]:
+    """At most ``size`` rows, those with the least hash of ``by`` among a part of all that holds a few more than that.
+
+    A plain ordered limit would send ``size`` rows of every task to the driver; here all tasks together send about that many.
+    The same rows give the same sample.
+    """
+    rows = df.withColumn("_place", F.pmod(F.xxhash64(by), F.lit(1 << 32)))
+    n = rows.count()
+    if n > size:
+        rows = rows.where(F.col("_place") < int(1.2 * size / n * (1 << 32)) + 1)
+    return sorted(rows.collect(), key=lambda r: (r["_place"], str(r)))[:size]
+
+
 def long_array(values: np.ndarray) -> pa.Array:
     """64-bit hashes as Spark longs."""
     return pa.array(np.asarray(values, np.uint64).view(np.int64))

@@ -97,6 +97,11 @@ def texts_of(column: pa.Array) -> Texts:
     return Texts(raw[offsets[0] : offsets[-1]], offsets - offsets[0])
 
 
+def lower_bytes(data: np.ndarray) -> np.ndarray:
+    """A-Z in lower case, all else as it is."""
+    return _LOWER[data]
+
+
 def word_spans(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     """Byte positions of all words; a word never reaches into the next text."""
     inside = ~_SPACE[texts.data]
