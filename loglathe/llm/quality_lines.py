@@ -1,9 +1,9 @@
 """Quality rules on whole texts, and lines that recur across the documents of a host.
 
-Lines are compared without case, digits' values and blanks. Per host the documents that hold a line are counted, copies of one
-document only once in effect: each document is told by a sketch, the least hash of the 3-word windows outside the line. A
-line is boilerplate when more documents than the limit hold it beside those of its commonest sketch, and that sketch has less
-than half of them. Lines of a text that was merely copied share their sketch, and stay.
+Lines are compared without case, digits' values and blanks. Lines that more texts of a host than the
+limit hold may be boilerplate; what a text has beside them, also in slightly edited form, is its context, told by a sketch, the
+least hash of 3-word windows of those other lines. A line is boilerplate when it stands in more distinct contexts than the
+limit. Lines of a text that was merely copied or edited here and there share their context, and stay.
 
 One pass over the texts leaves a narrow table of figures and line hashes; counting and the verdict work on that.
 """
@@ -34,6 +34,8 @@ LINE_WORDS = 3
 #: a line is frequent above so many documents of a host, and above this part of them
 LEAST_DOCUMENTS = 8
 DOCUMENT_SHARE = 0.003
+#: a line's least window hashes, 32 bits of each; with four, a line and its copy with one other word always share one
+MARKS = 4
 #: a document is depleted when less is left
 LEFT_PERCENT = 30
 LEFT_WORDS = 20
@@ -43,6 +45,7 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 _DIGIT = np.zeros(256, bool)
 _DIGIT[0x30:0x3A] = True
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+_MARK = np.uint64(0xFFFFFFFF)
 
 
 def _digits_hidden(texts: Texts) -> np.ndarray:
@@ -89,46 +92,47 @@ class Figures:
         size = word_to - word_at
         folded = fold(words, word_at, word_to)
         windows = window_hashes(words, 3)
-        least = np.full(len(starts), _NONE)
+        marks = np.zeros((len(starts), MARKS), np.uint64)
         wide = np.flatnonzero(size >= 3)
         if len(wide):
-            cuts = np.stack([word_at[wide], word_to[wide] - 2], 1).ravel()
-            padded = np.concatenate([mix(windows), [_NONE]])
-            least[wide] = np.minimum.reduceat(padded, cuts)[::2]
+            n = size[wide] - 2
+            cuts = np.cumsum(n) - n
+            values = mix(windows)[np.repeat(word_at[wide] - cuts, n) + np.arange(n.sum())]
+            for k in range(MARKS):
+                least = np.minimum.reduceat(values, cuts)
+                marks[wide, k] = np.where(least == _NONE, marks[wide, 0], least)
+                values = np.where(values == np.repeat(least, n), _NONE, values)
+        marks &= _MARK
         self.n_dup_lines = np.zeros(len(texts), np.int64)
-        self.lines, self.sketches, self.line_words, counts = [], [], [], []
+        self.lines, self.marks, self.line_words, counts = [], [], [], []
         for i, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
             filled = np.arange(a, b)[size[a:b] > 0]
             self.n_dup_lines[i] = len(filled) - len(np.unique(raw[filled]))
             hashes, at, inverse = np.unique(folded[filled], return_index=True, return_inverse=True)
             in_lines = np.bincount(inverse, weights=size[filled], minlength=len(hashes)).astype(np.int64)
-            minima = least[filled][at]
-            others = np.full(len(hashes), minima.min() if len(hashes) else _NONE)
-            if len(hashes) > 1:
-                low = int(minima.argmin())
-                others[low] = np.delete(minima, low).min()
-            elif len(hashes):
-                others[0] = _NONE
             keep = size[filled][at] >= LINE_WORDS
             counts.append(int(keep.sum()))
             self.lines.append(hashes[keep])
-            self.sketches.append(others[keep])
+            self.marks.append(marks[filled][at][keep])
             self.line_words.append(in_lines[keep])
         self.line_first = np.concatenate([[0], np.cumsum(counts)])
 
 
+_LINE = "struct<line: long, low: long, high: long, words: long>"
 _KEYS = ["doc_id", "source", "uid"]
 _FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def document_figures(docs: DataFrame) -> DataFrame:
-    """The figures of each row of ``docs`` (doc_id, text, source), and ``lines``: its line hashes, sketches and words."""
+    """The figures of each row of ``docs`` (doc_id, text, source), and ``lines``: its line hashes, marks (two in a long) and words."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         f = Figures(texts_of(batch["text"]))
-        longs = [np.concatenate([np.zeros(0, np.uint64), *x]).view(np.int64) for x in (f.lines, f.sketches)]
+        marks = np.concatenate([np.zeros((0, MARKS), np.uint64), *f.marks])
+        low, high = (marks[:, k] | (marks[:, k + 1] << np.uint64(32)) for k in (0, 2))
+        longs = [x.view(np.int64) for x in (np.concatenate([np.zeros(0, np.uint64), *f.lines]), low, high)]
         words = np.concatenate([np.zeros(0, np.int64), *f.line_words])
-        items = pa.StructArray.from_arrays([pa.array(x) for x in (*longs, words)], ["line", "sketch", "words"])
+        items = pa.StructArray.from_arrays([pa.array(x) for x in (*longs, words)], ["line", "low", "high", "words"])
         lines = pa.ListArray.from_arrays(pa.array(f.line_first, pa.int32()), items)
         columns = [batch[k] for k in _KEYS] + [pa.array(getattr(f, n).astype(np.int64)) for n in _FIGURES] + [lines]
         return pa.record_batch(columns, names=[*_KEYS, *_FIGURES, "lines"])
@@ -138,7 +142,7 @@ def document_figures(docs: DataFrame) -> DataFrame:
     columns = docs.select("doc_id", F.col("source").cast("string").alias("source"), uid(text).alias("uid"), text.alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     figures = ", ".join(f"{n} long" for n in _FIGURES)
-    return map_arrow(columns, run, f"doc_id {kind}, source string, uid long, {figures}, lines array<struct<line: long, sketch: long, words: long>>")
+    return map_arrow(columns, run, f"doc_id {kind}, source string, uid long, {figures}, lines array<{_LINE}>")
 
 
 def uid(text):
@@ -146,14 +150,75 @@ def uid(text):
     return F.xxhash64(text)
 
 
+def _marks(low, high):
+    return [x for y in (low, high) for x in (F.expr(f"{y} & 4294967295"), F.expr(f"shiftrightunsigned({y}, 32)"))]
+
+
+def contexts(figures: DataFrame) -> DataFrame:
+    """``source, sketch, held`` of each text: its context, and those of its lines that may be boilerplate."""
+    texts = figures.where(F.size("lines") > 0).select("source", "lines", F.xxhash64("doc_id", "source", "uid").alias("text_no"))
+    each = texts.select("source", "text_no", F.explode("lines").alias("x")).select("source", "text_no", "x.line", "x.low", "x.high")
+    able = each.groupBy("source", "line").agg(F.count("*").alias("n"), F.max("low").alias("low"), F.max("high").alias("high"))
+    able = able.where(F.col("n") > LEAST_DOCUMENTS)
+
+    def keyed(rows: DataFrame, n, *more: str) -> DataFrame:
+        """A row for each line with ``n``, and one for each of its marks with 0."""
+        keys = [F.struct(F.col("line").alias("value"), n.alias("n"))]
+        keys += [F.struct(m.alias("value"), F.lit(0).cast("long").alias("n")) for m in _marks("low", "high")]
+        rows = rows.select("source", *more, F.explode(F.array_distinct(F.array(*keys))).alias("k"))
+        return rows.select(F.xxhash64("source", F.col("k.n") > 0, "k.value").alias("key"), "k.value", "k.n", *more)
+
+    wanted = stored(keyed(able, F.col("n")).groupBy("key").agg(F.max("value").alias("value"), F.max("n").alias("n")), "able")
+    met = keyed(each, F.lit(1).cast("long"), "text_no").select("key", "text_no").join(wanted, "key")
+    hits = met.groupBy("text_no").agg(F.collect_set(F.struct("value", "n")).alias("hits"))
+    rows = texts.join(hits, "text_no", "left")
+    rows = rows.select("source", "lines", F.coalesce("hits", F.array().cast("array<struct<value: long, n: long>>")).alias("hits"))
+
+    def parts(column: pa.Array, *names: str) -> tuple[list[int], list[np.ndarray]]:
+        first = column.offsets.to_numpy()
+        flat = column.flatten()
+        return (first - first[0]).tolist(), [flat.field(n).to_numpy(zero_copy_only=False) for n in names]
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        first, (line, low, high) = parts(batch["lines"], "line", "low", "high")
+        hit_first, (value, n) = parts(batch["hits"], "value", "n")
+        low, high = low.view(np.uint64), high.view(np.uint64)
+        marks = np.stack([low & _MARK, low >> np.uint64(32), high & _MARK, high >> np.uint64(32)], 1).astype(np.int64)
+        sketches, held = [], []
+        for i in range(batch.num_rows):
+            own, lines = marks[first[i] : first[i + 1]], line[first[i] : first[i + 1]]
+            hit, count = value[hit_first[i] : hit_first[i + 1]], n[hit_first[i] : hit_first[i + 1]]
+            sketches.append(int(own[context_lines(own, lines, hit, count), 0].min()))
+            held.append(hit[count > 0].tolist())
+        columns = [batch["source"], pa.array(sketches, pa.int64()), pa.array(held, pa.list_(pa.int64()))]
+        return pa.record_batch(columns, names=["source", "sketch", "held"])
+
+    small_batches(figures.sparkSession)
+    return stored(map_arrow(rows, run, "source string, sketch long, held array<long>"), "contexts")
+
+
+def context_lines(marks: np.ndarray, lines: np.ndarray, hit: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Which lines of a text tell its context: those that few hold and that are not edited from one that many hold.
+
+    Of a text without such lines, what its fewer texts share: lines that at most half as many hold as its commonest, or all.
+    """
+    own = ~np.isin(marks, hit[count == 0]).any(1)
+    if own.any():
+        return own
+    common, counts = hit[count > 0], count[count > 0]
+    for some in (common[2 * counts <= counts.max(initial=0)], common):
+        if len(some):
+            return np.isin(lines, some)
+    return ~own
+
+
 def frequent_lines(figures: DataFrame) -> DataFrame:
     """``source, line`` of boilerplate lines. A null source is a host of its own."""
-    held = figures.select("source", F.explode("lines").alias("x")).select("source", "x.line", "x.sketch")
-    by_sketch = held.groupBy("source", "line", "sketch").agg(F.count("*").alias("n"))
-    by_line = by_sketch.groupBy("source", "line").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
-    able = by_line.where(f"n - most > {LEAST_DOCUMENTS} and 2 * most < n")
+    found = contexts(figures)
+    held = found.select("source", "sketch", F.explode("held").alias("line")).distinct()
+    by_line = held.groupBy("source", "line").agg(F.count("*").alias("n")).where(F.col("n") > LEAST_DOCUMENTS)
     hosts = figures.groupBy(F.col("source").alias("host")).agg(F.count("*").alias("documents"))
-    above = able.join(hosts, F.col("source").eqNullSafe(F.col("host"))).where(f"n - most > {DOCUMENT_SHARE} * documents")
+    above = by_line.join(hosts, F.col("source").eqNullSafe(F.col("host"))).where(F.col("n") > DOCUMENT_SHARE * F.col("documents"))
     return above.select("source", "line")
 
 

@@ -92,6 +92,31 @@ def test_a_document_of_little_but_boilerplate_goes(table_of):
     assert all(got[i] for i in range(60) if i % 3)
 
 
+def prose(rng, n_words=15):
+    return " ".join("".join(rng.choices(string.ascii_lowercase, k=7)) for _ in range(n_words))
+
+
+def test_depleted_documents_go_whatever_block_outweighs_them(table_of):
+    rows = []
+    for i in range(60):
+        own, *rest = site(1, seed=i)[0][1].split("\n")
+        shared = [" ".join("s" + "k" * k + "j" * j for j in range(12)) for k in range(9)]
+        body = [own[:20], *shared] if i % 3 == 0 else [own, *rest, shared[i % 9], shared[(i + 4) % 9]]
+        rows.append((i, "\n".join(body), None))
+    rng = random.Random(11)
+    left = {}
+    for host in range(12):
+        block = [prose(rng) for _ in range(2 + host)]
+        for i in range(40):
+            n_own = len(block) * 15 * (22 + i % 6) // (100 - 22 - i % 6)
+            body = prose(rng, n_own)
+            left[1000 * (host + 1) + i] = n_own
+            rows.append((1000 * (host + 1) + i, "\n".join([*block[: host // 2], body, *block[host // 2 :]]), f"host{host}"))
+    got = {r["doc_id"]: r for r in verdicts(document_figures(table_of(rows)).cache()).collect()}
+    assert not any(got[i]["kept"] for i in range(0, 60, 3)) and all(got[i]["kept"] for i in range(60) if i % 3)
+    assert all(got[i]["n_words"] - got[i]["removed_words"] == n and not got[i]["kept"] for i, n in left.items())
+
+
 def test_odd_rows_quality(table_of):
     docs = table_of([(*r, None) for r in ODD]).withColumn("lines", F.lit(1)).withColumn("found", F.lit("x")).withColumn("uid", F.lit(1))
     docs = docs.withColumn("row", F.lit(1)).withColumn("_found", F.lit(None).cast("string"))
