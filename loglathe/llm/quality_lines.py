@@ -1,6 +1,6 @@
 """Quality rules on whole texts, and lines that recur across the documents of a host.
 
-Lines are compared without case, digits' values and blanks. Lines that more texts of a host than the
+Lines are compared without case, digits' values and blanks. Per host, equal texts count once. Lines that more texts than the
 limit hold may be boilerplate; what a text has beside them, also in slightly edited form, is its context, told by a sketch, the
 least hash of 3-word windows of those other lines. A line is boilerplate when it stands in more distinct contexts than the
 limit. Lines of a text that was merely copied or edited here and there share their context, and stay.
@@ -155,8 +155,9 @@ def _marks(low, high):
 
 
 def contexts(figures: DataFrame) -> DataFrame:
-    """``source, sketch, held`` of each text: its context, and those of its lines that may be boilerplate."""
-    texts = figures.where(F.size("lines") > 0).select("source", "lines", F.xxhash64("doc_id", "source", "uid").alias("text_no"))
+    """``source, sketch, held`` of each distinct text: its context, and those of its lines that may be boilerplate."""
+    texts = figures.where(F.size("lines") > 0).groupBy("source", "uid").agg(F.first("lines").alias("lines"))
+    texts = stored(texts.withColumn("text_no", F.xxhash64("source", "uid")), "texts")
     each = texts.select("source", "text_no", F.explode("lines").alias("x")).select("source", "text_no", "x.line", "x.low", "x.high")
     able = each.groupBy("source", "line").agg(F.count("*").alias("n"), F.max("low").alias("low"), F.max("high").alias("high"))
     able = able.where(F.col("n") > LEAST_DOCUMENTS)
@@ -217,8 +218,8 @@ def frequent_lines(figures: DataFrame) -> DataFrame:
     found = contexts(figures)
     held = found.select("source", "sketch", F.explode("held").alias("line")).distinct()
     by_line = held.groupBy("source", "line").agg(F.count("*").alias("n")).where(F.col("n") > LEAST_DOCUMENTS)
-    hosts = figures.groupBy(F.col("source").alias("host")).agg(F.count("*").alias("documents"))
-    above = by_line.join(hosts, F.col("source").eqNullSafe(F.col("host"))).where(F.col("n") > DOCUMENT_SHARE * F.col("documents"))
+    hosts = found.select("source", "sketch").distinct().groupBy(F.col("source").alias("host")).agg(F.count("*").alias("contexts"))
+    above = by_line.join(hosts, F.col("source").eqNullSafe(F.col("host"))).where(F.col("n") > DOCUMENT_SHARE * F.col("contexts"))
     return above.select("source", "line")
 
 

@@ -117,6 +117,26 @@ def test_depleted_documents_go_whatever_block_outweighs_them(table_of):
     assert all(got[i]["n_words"] - got[i]["removed_words"] == n and not got[i]["kept"] for i, n in left.items())
 
 
+def test_copies_do_not_decide_about_a_line(table_of):
+    rng = random.Random(12)
+    footer, shared = prose(rng, 8), prose(rng, 9)
+    rows = [(i, "\n".join([*(prose(rng) for _ in range(4)), footer]), "pages") for i in range(90)]
+    copied = "\n".join([*(prose(rng) for _ in range(4)), footer])
+    rows += [(1000 + i, copied, "pages") for i in range(100)]
+    for k in range(3):
+        text = "\n".join([*(prose(rng) for _ in range(4)), shared])
+        rows += [(2000 + 100 * k + i, text, "three") for i in range(9)]
+    for k in range(12):
+        lines = [prose(rng).split() for _ in range(6)]
+        for i in range(12):
+            edited = [list(x) for x in lines]
+            edited[i % 6][rng.randrange(15)] = "edit" + "x" * i
+            rows.append((5000 + 100 * k + i, "\n".join([*map(" ".join, edited), footer]), "edited"))
+    got = {r["doc_id"]: r for r in verdicts(document_figures(table_of(rows)).cache()).collect()}
+    removed = {i: r["removed_words"] for i, r in got.items()}
+    assert all(removed[i] == (0 if 2000 <= i < 5000 else 8) and got[i]["kept"] for i in removed)
+
+
 def test_odd_rows_quality(table_of):
     docs = table_of([(*r, None) for r in ODD]).withColumn("lines", F.lit(1)).withColumn("found", F.lit("x")).withColumn("uid", F.lit(1))
     docs = docs.withColumn("row", F.lit(1)).withColumn("_found", F.lit(None).cast("string"))
