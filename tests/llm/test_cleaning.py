@@ -212,6 +212,31 @@ def test_personal_data(table_of):
     assert personal_data(table_of([])).collect() == []
 
 
+def test_hidden_personal_data_is_added_and_clean_text_is_not(table_of):
+    rng = random.Random(13)
+    rows = []
+    for i in range(1200):
+        name = "".join(rng.choices(string.ascii_lowercase, k=3 + i % 5)) + ("", ".lee", str(i))[i // 6 % 3]
+        extra = [
+            f"mail me {name}@{('shop', 'host2', 'web.site')[i // 18 % 3]}.example.{('com', 'org')[i // 6 % 2]} now", f"call +1 (5{i % 90:02d}) 555-01{i % 90:02d} now", f"host 10.{i % 255}.{i % 7}.4 up",
+            f"on 2024-0{1 + i % 9}-1{i % 10} we", f"number {rng.randrange(10**9, 10**10)} here", f"parts {i % 5}, {i % 7}, {i % 9}, {i % 8} of",
+        ][i % 6]
+        rows.append((i, f"some words before {extra} and after"))
+    hidden = {
+        5000: ("mail me ", "ann.lee [at] shop [dot] example [dot] org", " now"), 5001: ("mail me ", "bob (at) shop.example.org", ". Then go"),
+        5002: ("call ", "1 (555) 555-0199", " now"), 5003: ("host ", "10[.]3[.]4[.]9", " up"), 5004: ("host ", "10,77,3,4", " up"),
+    }
+    clean = ["we meet (at) noon. Then home", "on 2023-05-12 we met", "number 1234567890 here", "parts 1, 2, 3, 4 of it", "version 3.400.2.1 out", "seen (at) page 3.5 of it", "pay 12 345 678 in all"]
+    rows += [(i, f"some words before {''.join(t)} and after") for i, t in hidden.items()]
+    rows += [(6000 + i, f"some words before {t} and after") for i, t in enumerate(clean)]
+    got = {r["doc_id"]: r for r in personal_data(table_of(rows)).collect()}
+    texts = dict(rows)
+    found = {i: [texts[i][int(a) : int(b)] for _, a, b in (x.split(":") for x in got[i]["spans"].split(",") if x)] for i in got}
+    assert {i: found[i] for i in hidden} == {i: [t[1]] for i, t in hidden.items()}
+    assert [found[6000 + i] for i in range(len(clean))] == [[] for _ in clean]
+    assert all(got[i]["n_added"] == 0 for i in range(1200))
+
+
 def test_trees_learn_and_calibrate():
     r = np.random.default_rng(5)
     x = r.random((3000, 5))
