@@ -1,6 +1,7 @@
 """The queries of this folder."""
 
 from loglathe.llm import (  # noqa: F401
+    conversation_repair,
     decontaminate,
     hmm_scoring,
     language_id,
