@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import sys
 import zlib
 from collections import defaultdict
 from functools import lru_cache
@@ -13,6 +14,8 @@ import pytest
 from loglathe.llm import run_paths as paths
 from loglathe.llm.conversation_repair import damaged, repair, repair_report, repaired_turns
 
+sys.setrecursionlimit(20_000)
+
 SCHEMA = "conv_id long, turn long, role string, text string"
 NEXT = {0: 2, 1: 2, 2: 3, 3: 2}
 NAME = {0: "user", 1: "user", 2: "assistant", 3: "user"}
