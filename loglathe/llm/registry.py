@@ -8,9 +8,11 @@ from loglathe.llm import (  # noqa: F401
     mixing,
     near_dedup,
     pii,
+    pu_quality,
     quality_lines,
     secrets_scan,
     sharding,
+    spelling,
     token_files,
 )
 from loglathe.llm.common import QUERIES, SQL
