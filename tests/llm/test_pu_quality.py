@@ -156,3 +156,13 @@ def test_tell_apart_and_prior_on_known_scores(spark):
     rows = spark.createDataFrame([(0, good)] * 3000 + [(1, good)] * 2100 + [(1, bad)] * 900, "grp int, shape binary")
     scale = Scale(np.zeros(FEATURES), np.ones(FEATURES))
     assert abs(class_prior(rows, scale, tell_apart(rows, scale)) - 0.7) < 1e-9
+
+
+def test_held_out_labels_of_the_given_table(spark):
+    folder = "/root/testdata/sf0.01"
+    got = {r["doc_id"]: r for r in pu_quality.op13(spark, folder).collect()}
+    rows = [(r["quality"], got[r["doc_id"]]) for r in spark.read.parquet(f"{folder}/labels.parquet").collect()]
+    held = [(q, r["score"]) for q, r in rows if r["held_out"]]
+    assert np.mean([q == int(s >= 0.5) for q, s in held]) >= 0.93
+    bad, good = ([s for q, s in held if q == k] for k in (0, 1))
+    assert np.mean([[b < g for g in good] for b in bad]) >= 0.95
