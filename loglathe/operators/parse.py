@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from loglathe.functions.casts import cast_text
 from loglathe.functions.patterns import CompiledPattern, compile_pattern
 from loglathe.functions.text import MAX_LINE_LENGTH, is_blank, is_oversize, json_object
+from loglathe.operators.skeleton import LONG_LINE, Skeleton
 from loglathe.plans.formats import JSON_TEXT, LogFormat, log_format
 
 OK, BLANK, TOO_LONG, NO_MATCH, BAD_JSON = "OK", "BLANK", "TOO_LONG", "NO_MATCH", "BAD_JSON"
@@ -38,16 +39,21 @@ def _own_mark(line: Column) -> Column:
     return F.when(F.contains(line, F.lit(_MARK)), run).otherwise(F.lit(_MARK))
 
 
-def _rewritten(line: Column, pattern: CompiledPattern, mark: Column, parts: Sequence[str] = ()) -> Column:
+def _rewritten(
+    line: Column, pattern: CompiledPattern, mark: Column, parts: Sequence[str] = (), skeleton: Skeleton | None = None
+) -> Column:
     """A matching line rewritten to its groups, each behind a mark; any other line as it is.
 
     The pattern may match anywhere in the line, and it is matched once however many fields it has.  Lines without the fixed
-    ``parts`` that every match has are not tried.
+    ``parts`` that every match has are not tried, and long ones are cut along the ``skeleton`` where that leaves no choice.
     """
     search = F.lit(f"^(?s:.*?)(?:{pattern.regex})(?s:.*)$")
     layout = F.lit("".join(f"{_MARK}${g}" for c in pattern.captures for g in c.groups))
     own_layout = F.replace(layout, F.lit(_MARK), mark)
     found = F.regexp_replace(line, search, F.when(mark == _MARK, layout).otherwise(own_layout))
+    if skeleton is not None:
+        whole = (F.length(line) <= LONG_LINE) | skeleton.ambiguous(line)
+        found = F.when(whole, found).otherwise(skeleton.rewritten(line, mark, _MARK))
     for part in parts:
         found = F.when(F.contains(line, F.lit(part)), found).otherwise(line)
     return found
@@ -62,8 +68,10 @@ def _with_parts(df: DataFrame, line: Column, split: Callable[[Column], Column],
     return _evaluate_once(df.withColumn(_MARKS, _own_mark(line)), parts, _PARTS).drop(_MARKS)
 
 
-def _regex_parts(line: Column, pattern: CompiledPattern, mark: Column, parts: Sequence[str] = ()) -> Column:
-    return F.split(_rewritten(line, pattern, mark, parts), mark, -1)
+def _regex_parts(
+    line: Column, pattern: CompiledPattern, mark: Column, parts: Sequence[str] = (), skeleton: Skeleton | None = None
+) -> Column:
+    return F.split(_rewritten(line, pattern, mark, parts, skeleton), mark, -1)
 
 
 def _json_parts(line: Column, schema: T.StructType) -> Column:
@@ -142,16 +150,17 @@ def grok(
     custom: Mapping[str, str] | None = None,
     max_length: int | None = None,
     parts: Sequence[str] = (),
+    skeleton: Skeleton | None = None,
 ) -> DataFrame:
     """Apply a pattern template to a text column; adds ``status`` and ``fields`` (see the module text).
 
     All texts are searched; with ``max_length`` longer ones are ``TOO_LONG``.  ``parts`` are texts that every match holds: lines
-    without them are misses that cost no regex.
+    without them are misses that cost no regex.  ``skeleton`` says how the pattern is put together, for long lines.
     """
     compiled = compile_pattern(pattern, dict(custom or {}))
     line, found = F.col(col), F.col(_PARTS)
     return (
-        _with_parts(df, line, lambda mark: _regex_parts(line, compiled, mark, parts), max_length)
+        _with_parts(df, line, lambda mark: _regex_parts(line, compiled, mark, parts, skeleton), max_length)
         .withColumns({"status": _status(line, found, compiled), "fields": _fields_struct(compiled)})
         .drop(_PARTS)
     )
@@ -198,7 +207,8 @@ def parse_lines(
     chosen = log_format(fmt, custom)
     if chosen.json_schema is not None:
         return parse_json_lines(df, chosen.json_schema, col, max_length=max_length)
-    return grok(df, chosen.pattern, col, custom=dict(chosen.custom), max_length=max_length, parts=chosen.parts)
+    known = {"parts": chosen.parts, "skeleton": chosen.skeleton}
+    return grok(df, chosen.pattern, col, custom=dict(chosen.custom), max_length=max_length, **known)
 
 
 def parse_multi_format(
@@ -219,14 +229,14 @@ def parse_multi_format(
     if not formats:
         raise ValueError("No formats given")
     chosen = {check_log_type(name): log_format(f, custom) for name, f in formats.items()}
-    regexes = {name: (f.compiled, f.parts) for name, f in chosen.items() if f.json_schema is None}
+    regexes = {name: (f.compiled, f.parts, f.skeleton) for name, f in chosen.items() if f.json_schema is None}
     schemas = {name: f.json_schema for name, f in chosen.items() if f.json_schema is not None}
     line, kind, parts = F.col(col), F.col(type_col), F.col(_PARTS)
 
     def split(mark: Column) -> Column:
         branch = F
-        for name, (pattern, fixed) in regexes.items():
-            branch = branch.when(kind == name, _rewritten(line, pattern, mark, fixed))
+        for name, (pattern, fixed, skeleton) in regexes.items():
+            branch = branch.when(kind == name, _rewritten(line, pattern, mark, fixed, skeleton))
         found = F.split(branch.otherwise(F.lit("")) if regexes else F.lit(""), mark, -1)
         for name, schema in schemas.items():
             found = F.when(kind == name, _json_parts(line, schema)).otherwise(found)

@@ -69,46 +69,58 @@ def health_status(
     record and the totals.  A group without a success for 300 seconds is down as well; before the first success the
     clock runs from the first record.
 
-    One hash aggregate with a row per group and outcome, whatever the error texts; the text of each group's last record is
-    then looked up by its position, which reads ``df`` a second time.
+    Rows are read once: a task keeps per group the totals and the text of the last record, which ``join_health`` brings together.
     """
-    event_ts, position = F.col(ts), _order_key(F.col(ts), F.col(tiebreak))
-    rows = df.select(*by, ok.alias("__ok"), F.when(~ok, error).alias("__error"), event_ts.alias("__ts"), position.alias("__at"))
+    return health_at(join_health(health_pieces(df, by, ok, error, ts, tiebreak), by), by, now)
+
+
+def health_pieces(df: DataFrame, by: Sequence[str], ok: Column, error: Column, ts: str, tiebreak: str) -> DataFrame:
+    """What health follows from, per group: totals, times, and the text of the last record (null after a success) with its position.
+
+    The text rides in an aggregate whose buffer is an object (``max_by`` over the last few, of which one is kept), so rows are hashed
+    and not sorted by group; a task holds one text a group.
+    """
+    position = _order_key(F.col(ts), F.col(tiebreak))
+    rows = df.select(*by, ok.alias("__ok"), F.when(~ok, error).alias("__error"), F.col(ts).alias("__ts"), position.alias("__at"))
     good = F.col("__ok")
-    totals = rows.groupBy(*by).agg(
+    return rows.groupBy(*by).agg(
         F.count_if(good).alias("processed"),
         F.count_if(~good).alias("failed"),
-        F.max(F.when(good, F.col("__ts"))).alias("__last_success"),
-        F.min("__ts").alias("__first"),
-        F.max(F.when(good, F.col("__at"))).alias("__last_good"),
-        F.max("__at").alias("__last"),
+        F.max(F.when(good, F.col("__ts"))).alias("last_success"),
+        F.min("__ts").alias("first_seen"),
+        F.max("__at").alias("last_at"),
+        F.max_by(F.struct(good.alias("ok"), F.col("__error").alias("error")), "__at").alias("last"),
     )
-    totals = totals.withColumn("__last_ok", F.col("__last").eqNullSafe(F.col("__last_good")))
-    ends = totals.where(~F.col("__last_ok")).select(*[F.col(c).alias(f"__{c}") for c in by], F.col("__last").alias("__end"))
-    same = F.col("__at") == F.col("__end")
-    for c in by:
-        same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
-    texts = rows.where(~good).join(ends, same).groupBy(*[f"__{c}" for c in by]).agg(F.max("__error").alias("last_error"))
-    known = F.lit(True)
-    for c in by:
-        known &= F.col(c).eqNullSafe(F.col(f"__{c}"))
-    totals = totals.join(texts, known, "left")
-    total = F.col("processed") + F.col("failed")
-    unhealthy = (
-        ~F.col("__last_ok") & (total > HEALTH_MIN_TOTAL) & (F.col("failed") > F.floor(total / 2))
+
+
+def join_health(pieces: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One piece per group from pieces of any batches, in any order: what this returns can be joined again."""
+    return pieces.groupBy(*by).agg(
+        F.sum("processed").alias("processed"),
+        F.sum("failed").alias("failed"),
+        F.max("last_success").alias("last_success"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_at").alias("last_at"),
+        F.max_by("last", "last_at").alias("last"),
     )
-    since = F.coalesce("__last_success", "__first")
+
+
+def health_at(joined: DataFrame, by: Sequence[str], now: Column) -> DataFrame:
+    """Health per group at time ``now`` from joined pieces; a group that has been silent for too long is down."""
+    total = F.col("processed") + F.col("failed")
+    unhealthy = ~F.col("last.ok") & (total > HEALTH_MIN_TOTAL) & (F.col("failed") > F.floor(total / 2))
+    since = F.coalesce("last_success", "first_seen")
     idle_ms = (F.unix_micros(now.cast("timestamp")) / 1000).cast("long") - (
         F.unix_micros(since.cast("timestamp")) / 1000
     ).cast("long")
-    return totals.select(
+    return joined.select(
         *by,
         F.when(unhealthy | (idle_ms > STALE_AFTER_SECONDS * 1000), "DOWN").otherwise("UP").alias("status"),
         "processed",
         "failed",
         success_rate(F.col("processed"), F.col("failed")).alias("success_rate"),
         idle_ms.alias("idle_ms"),
-        "last_error",
+        F.col("last.error").alias("last_error"),
     )
 
 
@@ -123,19 +135,25 @@ def records_per_second(
 
     Rows are first counted per slide; only those counts, not the rows, are copied into the windows that cover them.
     """
+    return window_rates(slide_counts(df, ts, by, slide_seconds), by, window_seconds, slide_seconds)
+
+
+def slide_counts(df: DataFrame, ts: str, by: Sequence[str], slide_seconds: int, *more: Column) -> DataFrame:
+    """``start, n`` per slide of time and group, and other aggregates."""
+    slides = df.groupBy(*by, F.window(F.col(ts), f"{slide_seconds} seconds").alias("w")).agg(F.count(F.lit(1)).alias("n"), *more)
+    return slides.select(*by, F.col("w.start").alias("start"), *[c for c in slides.columns if c not in (*by, "w")])
+
+
+def window_rates(slides: DataFrame, by: Sequence[str], window_seconds: int, slide_seconds: int, *sums: str) -> DataFrame:
+    """Sliding windows from ``slides`` (by, start, n); other columns to add up by name."""
     if window_seconds % slide_seconds:
         raise ValueError("The window must be a whole number of slides")
-    per_slide = (
-        df.groupBy(*by, F.window(F.col(ts), f"{slide_seconds} seconds").alias("w"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(*by, F.col("w.start").alias("start"), "n")
-    )
     steps = window_seconds // slide_seconds
     shifted = F.col("start") - F.make_dt_interval(secs=F.col("step") * F.lit(slide_seconds))
     return (
-        per_slide.select(*by, "start", "n", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("step"))
+        slides.select(*by, "start", "n", *sums, F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("step"))
         .groupBy(*by, shifted.alias("window_start"))
-        .agg(F.sum("n").alias("records"))
+        .agg(F.sum("n").alias("records"), *[F.sum(c).alias(c) for c in sums])
         .withColumn("records_per_second", F.col("records") / F.lit(float(window_seconds)))
     )
 
@@ -194,45 +212,72 @@ def pattern_quarantine(
     Range partitioning reads its input twice, once to find the borders.  ``stage`` names a folder to write the few
     needed columns to first, so that lines are not parsed twice.
     """
-    chunk, n_ok = "__chunk", "__n_ok"
+    joined = join_streaks(streak_pieces(df, by, order, ok, stage), by, ["piece"])
+    return quarantine_report(joined, by, threshold)
+
+
+def streak_pieces(df: DataFrame, by: Sequence[str], order: Sequence[str], ok: Column, stage: str | None = None) -> DataFrame:
+    """Runs of failures per group in pieces of the order: ``piece, successes, head, tail, longest``.
+
+    ``head`` and ``tail`` are the failures before the first and after the last success, both all of them where there is none.
+    """
+    n_ok = "__n_ok"
     slim = df.select(*by, *order, ok.cast("int").alias("__ok"))
     if stage is not None:
         slim.write.parquet(stage)
         slim = df.sparkSession.read.schema(slim.schema).parquet(stage)
-    ranged = slim.repartitionByRange(*by, *order).withColumn(chunk, F.spark_partition_id())
-    so_far = Window.partitionBy(*by, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ranged = slim.repartitionByRange(*by, *order).withColumn("piece", F.spark_partition_id())
+    so_far = Window.partitionBy(*by, "piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     runs = (
         ranged.withColumn(n_ok, F.sum("__ok").over(so_far))
-        .groupBy(*by, chunk, n_ok)
+        .groupBy(*by, "piece", n_ok)
         .agg(F.count_if(F.col("__ok") == 0).alias("run"))
     )
-    chunks = runs.groupBy(*by, chunk).agg(
+    return runs.groupBy(*by, "piece").agg(
         F.max(n_ok).alias("successes"),
         F.sum(F.when(F.col(n_ok) == 0, F.col("run")).otherwise(0)).alias("head"),
         F.max_by("run", n_ok).alias("tail"),
-        F.max("run").alias("inner"),
+        F.max("run").alias("longest"),
     )
-    # A run crossing borders: the tail of a chunk, heads of chunks without a success, the head of the next with one.
-    earlier = Window.partitionBy(*by).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def join_streaks(pieces: DataFrame, by: Sequence[str], at: Sequence[str]) -> DataFrame:
+    """One piece per group, ``successes, head, tail, longest``, from pieces one behind the other in the order of ``at``.
+
+    Pieces may be joined in any steps: what this returns are pieces again.  A group has a row for each of its pieces here.
+    """
+    # A run crossing borders: the tail of a piece, heads of pieces without a success, the head of the next with one.
+    earlier = Window.partitionBy(*by).orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
     has_success = F.col("successes") > 0
     island = F.coalesce(F.sum(has_success.cast("int")).over(earlier), F.lit(0))
-    pieces = F.array(
-        F.struct(F.col("island"), F.col("head").alias("length")),
+    ends = F.array(
+        F.struct(F.col("island"), F.col("head").alias("length"), F.col("successes")),
         F.struct(
             F.when(has_success, F.col("island") + 1).alias("island"),
             F.col("tail").alias("length"),
+            F.lit(0).cast("long").alias("successes"),
         ),
     )
     crossing = (
-        chunks.withColumn("island", island)
-        .select(*by, "inner", F.inline(pieces))
+        pieces.withColumn("island", island)
+        .select(*by, "longest", F.inline(ends))
         .where(F.col("island").isNotNull())
         .groupBy(*by, "island")
-        .agg(F.sum("length").alias("length"), F.max("inner").alias("inner"))
+        .agg(F.sum("length").alias("length"), F.max("longest").alias("longest"), F.sum("successes").alias("successes"))
     )
-    longest = F.greatest(F.max("length"), F.max("inner"))
     return crossing.groupBy(*by).agg(
-        longest.alias("max_streak"),
-        F.max_by("length", "island").alias("current_streak"),
-        (longest > threshold).alias("quarantined"),
+        F.sum("successes").alias("successes"),
+        F.max_by("length", -F.col("island")).alias("head"),
+        F.max_by("length", "island").alias("tail"),
+        F.greatest(F.max("length"), F.max("longest")).alias("longest"),
+    )
+
+
+def quarantine_report(joined: DataFrame, by: Sequence[str], threshold: int = QUARANTINE_STREAK) -> DataFrame:
+    """Longest and current run of failures per group, and whether more than ``threshold`` have come in a row."""
+    return joined.select(
+        *by,
+        F.col("longest").alias("max_streak"),
+        F.col("tail").alias("current_streak"),
+        (F.col("longest") > threshold).alias("quarantined"),
     )

@@ -25,6 +25,7 @@ from loglathe.operators.quality import counter_columns
 from loglathe.operators.route import reject_columns
 from loglathe.operators.shape import EVENT_DATE, UNDATED, mixed_row_columns, processing_date, row_columns
 from loglathe.plans.formats import LogFormat, log_format
+from loglathe.sinks.merge import compact
 from loglathe.sinks.rejects import write_reject_text
 from loglathe.sinks.tables import GOOD, REJECT, Layout, read_outcomes, write_outcomes
 from loglathe.sources.files import log_type_from_path, scan_lines
@@ -137,7 +138,12 @@ class Flow:
         write_outcomes(outcomes, root, run, batch, layout=self.layout, distribution=self.spread)
         if reject_path is not None:
             mine = read_outcomes(outcomes.sparkSession, root, REJECT_SCHEMA, REJECT, run, batch)
-            write_reject_text(mine, reject_path, run, batch, max_records_per_file=self.layout.max_records_per_file)
+            limits = {"max_records_per_file": self.layout.max_records_per_file, "max_bytes_per_file": self.layout.reject_file_bytes}
+            write_reject_text(mine, reject_path, run, batch, **limits)
+
+    def compact(self, spark: SparkSession, root: str) -> str | None:
+        """Merge small files of all runs to about the layout's target size."""
+        return compact(spark, root, self.layout.target_file_bytes)
 
     @property
     def spread(self) -> str:

@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import types as T
 
 from loglathe.functions.patterns import CompiledPattern, compile_pattern
+from loglathe.operators.skeleton import ACCESS, AGENT, Skeleton
 
 
 @dataclass(frozen=True)
@@ -21,6 +22,7 @@ class LogFormat:
     json_schema: T.StructType | None = None  # set when the captured text is JSON to be expanded
     custom: tuple[tuple[str, str], ...] = ()  # own pattern names
     parts: tuple[str, ...] = ()  # fixed texts that every line of the format holds
+    skeleton: Skeleton | None = None  # how its pattern is put together, for long lines
 
     @property
     def compiled(self) -> CompiledPattern:
@@ -61,9 +63,13 @@ FORMATS: dict[str, LogFormat] = {
             "%{TIMESTAMP_ISO8601:timestamp} %{LOGLEVEL:level} %{GREEDYDATA:message}",
             *_ISO_DATE,
         ),
-        LogFormat("access", "%{COMBINEDAPACHELOG}", *_HTTP_DATE, HTTP_TIME, parts=_HTTP_PARTS),
         LogFormat(
-            "access_combined", "%{COMMONAPACHELOG} %{QS:referrer} %{QS:agent}", *_HTTP_DATE, HTTP_TIME, parts=_HTTP_PARTS
+            "access", "%{COMBINEDAPACHELOG}", *_HTTP_DATE, HTTP_TIME, parts=_HTTP_PARTS,
+            skeleton=replace(ACCESS, rest=f"{ACCESS.rest}(?:{AGENT})?"),
+        ),
+        LogFormat(
+            "access_combined", "%{COMMONAPACHELOG} %{QS:referrer} %{QS:agent}", *_HTTP_DATE, HTTP_TIME, parts=_HTTP_PARTS,
+            skeleton=replace(ACCESS, rest=ACCESS.rest + AGENT),
         ),
         LogFormat("syslog", "%{SYSLOGBASE} %{GREEDYDATA:message}", *_SYSLOG_DATE, "MMM d HH:mm:ss"),
         LogFormat("json", "%{GREEDYDATA:json_data}", *_ISO_DATE, json_schema=JSON_LOG_SCHEMA),

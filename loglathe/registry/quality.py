@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loglathe.operators.anchored import error_counts_anchored, error_sample_anchored
 from loglathe.operators.parse import BLANK, OK, parse_lines
 from loglathe.operators.quality import (
     error_counts,
@@ -157,6 +158,38 @@ def _error_counts_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stamp(error_counts(_errors(spark, sf_dir), "operation", "ts", unit="day"), "day")
 
 
+def _anchored_sql(select: str) -> str:
+    """Windows of each operation one after the other, each from the first error over a minute after the last one's start."""
+    return (
+        "WITH RECURSIVE e AS (SELECT user_id % 10 AS operation, epoch_us(ts) // 1000 AS ms, ts, event_id FROM events WHERE event_type = 'error'),"
+        " a AS (SELECT operation, min(ms) AS s FROM e GROUP BY 1 UNION ALL SELECT operation, s FROM (SELECT a.operation, (SELECT min(ms) FROM e"
+        " WHERE e.operation = a.operation AND e.ms > a.s + 60000) AS s FROM a) WHERE s IS NOT NULL),"
+        " r AS (SELECT e.operation, s, event_id, row_number() OVER (PARTITION BY e.operation, s ORDER BY ts, event_id) AS n FROM e JOIN a"
+        f" ON e.operation = a.operation AND ms BETWEEN s AND s + 60000), w AS (SELECT *, strftime(make_timestamp(s * 1000), '%Y-%m-%d %H:%M:%S.%g') AS window_start FROM r) {select}"
+    )
+
+
+def _start(df: DataFrame) -> DataFrame:
+    return df.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss.SSS"))
+
+
+@query("error_sample_anchored", _anchored_sql("SELECT operation, window_start, event_id, CAST(n AS INTEGER) AS rank FROM w WHERE n <= 10"))
+def _error_sample_anchored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sample = error_sample_anchored(_errors(spark, sf_dir), "operation", "ts", "event_id")
+    return _start(sample).select("operation", "window_start", "event_id", "rank")
+
+
+@query(
+    "error_counts_anchored",
+    _anchored_sql(
+        "SELECT operation, window_start, count(*) AS errors, least(count(*), 10) AS kept, greatest(count(*) - 10, 0) AS suppressed,"
+        " count(*) > 10 AS limit_reached FROM w GROUP BY 1, 2"
+    ),
+)
+def _error_counts_anchored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _start(error_counts_anchored(_errors(spark, sf_dir), "operation", "ts"))
+
+
 def _streak_sql(source: str, by: str, threshold: int) -> str:
     return (
         f"{source} s AS (SELECT {by} AS source, ts, event_id, ok,"

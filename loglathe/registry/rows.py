@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loglathe.functions.casts import int_field, string_field
 from loglathe.functions.text import drop_empty_json, mask_from, mask_json_values
 from loglathe.operators.infer import infer_schema
+from loglathe.operators.nested import nested_columns
 from loglathe.operators.parse import fields_map, flatten, keep_valid, parse_lines, parse_multi_format
 from loglathe.operators.route import good_rows, reject_envelope, rejects, replay_rejects
 from loglathe.operators.shape import GENERIC_COLUMNS, cast_fields, event_date, shape_rows
@@ -314,3 +315,20 @@ def _fields_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select(
         "event_id", F.size(found).alias("n_fields"), found["pid"].alias("pid"), found["logsource"].alias("logsource")
     )
+
+
+@query(
+    "json_nested",
+    "SELECT event_id, strftime(ts, '%Y-%m-%d') AS at, CAST(props->>'k' AS BIGINT) AS props_k, user_id AS user_id, event_type AS user_kind,"
+    " CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR) ELSE 'x' END AS mixed, user_id AS list_end FROM events",
+)
+def _json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed columns from nested objects whose keys nobody declared; a key with numbers and texts stays beside them."""
+    pieces = [
+        '{"at":"', F.date_format("ts", "yyyy-MM-dd"), '","user":{"id":', "user_id", ',"kind":"', "event_type", '"},"list":[', "event_id", ",", "user_id",
+        '],"mixed":', F.when(F.col("event_id") % 2 == 0, F.col("event_id").cast("string")).otherwise('"x"'), ',"props":', "props", "}",
+    ]
+    columns = ("user_id", "event_type", "event_id", "props")
+    text = F.concat(*[F.col(p).cast("string") if p in columns else F.lit(p) if isinstance(p, str) else p for p in pieces])
+    wide = nested_columns(read_events(spark, sf_dir).select("event_id", text.alias("value")), "value")
+    return wide.select("event_id", "at", "props_k", "user_id", "user_kind", F.col("rest")["mixed"].cast("string").alias("mixed"), F.element_at("list", -1).alias("list_end"))

@@ -1,87 +1,206 @@
-"""Merging the small folders of many batches into few, without a moment in which rows are missing or twice there.
-
-1.  The batches are written together as a new run named ``merged-..``. Readers leave out merged runs that are not listed.
-2.  A list of the batches that it replaces is written to ``root/_merged/<name>``; from then on readers take the merged run and
-    leave out its batches. A crash before or after changes nothing that a reader sees.
-3.  The replaced folders can be removed at any time later.
+"""Merging small files into files of a target size, whatever batch or run they are of.
+
+1.  Sizes come from a listing, rows from file footers. A part (run, batch, outcome, date) whose files are small on average, or have one far
+    above the target, is taken up.
+2.  The parts of one outcome and date lie one behind the other, and the line is cut into bins of equal bytes, as near to the target as
+    can be; rows of a file that a cut goes through are split by their place in the file.
+3.  The bins are written as a new run ``merged-..``, one file each; readers leave it out.
+4.  The list of what counts is written anew (``commits``): from then on readers take the merged run and leave out its parts. A crash before
+    or after changes nothing that a reader sees.
+5.  ``remove_replaced`` deletes what nobody reads any more, at any time later.
+
+Deleting goes through Hadoop's file system in the driver's JVM, which Spark Connect doesn't offer; all else is DataFrame code.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-MERGED = "merged-"
-_LISTS = "_merged"
-_LIST_SCHEMA = "name string, run string, batch long"
+from loglathe.sinks.commits import (
+    ENTRY,
+    MERGED,
+    PART_KEY,
+    batch_folder,
+    counting_batches,
+    counts,
+    current_list,
+    delete_folder,
+    delete_if_empty,
+    hidden_parts,
+    list_folder,
+    mark_folder,
+    ranges,
+    visible,
+    write_list,
+)
 
+__all__ = ["compact", "merge_batches", "remove_replaced", "visible"]
 
-def merged_lists(spark: SparkSession, root: str) -> DataFrame:
-    """``name, run, batch``: which run has replaced which batch. Lists that were not finished do not count."""
-    lists = spark.createDataFrame([], _LIST_SCHEMA)
-    try:
-        found = spark.read.schema("replaced string").option("recursiveFileLookup", "true").json(f"{root}/{_LISTS}")
-        return found.select(F.from_json("replaced", _LIST_SCHEMA).alias("r")).select("r.*")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return lists
+TARGET_BYTES = 128 * 1024 * 1024
+_PLACE = r"run=([^/]+)/batch=([0-9]+)/outcome=([^/]+)/event_date=([^/]+)/[^/]+$"
 
 
-def visible(spark: SparkSession, root: str) -> Column:
-    """Condition on ``run`` and ``batch`` for what readers take. Lists are short: one entry per replaced batch."""
-    names: set[str] = set()
-    replaced: dict[str, list[int]] = {}
-    for r in merged_lists(spark, root).collect():
-        names.add(r["name"])
-        replaced.setdefault(r["run"], []).append(r["batch"])
-    merged = F.col("run").startswith(MERGED)
-    out = ~merged | F.col("run").isin(*names) if names else ~merged
-    for run, batches in replaced.items():
-        out &= ~((F.col("run") == run) & F.col("batch").isin(*batches))
-    return out
+def _key(path: Column) -> Column:
+    """A file's place under the root; the two ways Spark writes paths differ before it."""
+    return F.regexp_extract(path, f"({_PLACE[:-1]})$", 1)
 
 
-def is_replaced(spark: SparkSession, root: str, run: str, batch: int) -> bool:
-    return not merged_lists(spark, root).where((F.col("run") == run) & (F.col("batch") == batch)).isEmpty()
+def stored_files(spark: SparkSession, root: str) -> DataFrame:
+    """``file, bytes, run, batch, outcome, event_date`` of all files under the root."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
+    place = [F.regexp_extract("path", _PLACE, i + 1).alias(c) for i, c in enumerate(PART_KEY)]
+    return found.select(_key(F.col("path")).alias("file"), F.col("length").alias("bytes"), *place).withColumn("batch", F.col("batch").cast("long"))
 
 
-def merge_batches(spark: SparkSession, root: str, run: str, up_to: int) -> str | None:
-    """Merge the batches of a run that are not above ``up_to``, which must be finished; returns the merged run's name.
+def _bins(files: DataFrame, target_bytes: int, everything: bool) -> DataFrame:
+    """``files`` (file, bytes, rows, outcome, event_date) with ``start, data, share, bins, base``, unless an outcome and date gains nothing.
 
-    Rows are brought together by outcome and date, where AQE makes files of its advisory size.  Batches merged before are
-    left alone; with fewer than two to merge nothing happens.
+    What each file costs beside its rows, footers and the like, is taken from how bytes grow with rows, and left out of the sums.  A bin's
+    number is ``base`` plus the whole part of a row's place on the line over ``share``.
     """
-    from loglathe.sinks.tables import batch_folder
-
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/run={run}")
-    listed = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
-    found = [re.fullmatch(r"batch=([0-9]+)", s.getPath().getName()) for s in listed]
-    done = {r["batch"] for r in merged_lists(spark, root).where(F.col("run") == run).collect()}
-    batches = sorted({int(m[1]) for m in found if m} - done)
-    batches = [b for b in batches if b <= up_to]
-    if len(batches) < 2:
+    line = Window.partitionBy("outcome", "event_date").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    fixed = F.regr_intercept("bytes", "rows")
+    overhead = files.groupBy("outcome").agg(F.when(fixed > 0, F.least(fixed, 0.9 * F.min("bytes"))).otherwise(0.0).alias("overhead"))
+    sized = files.join(overhead, "outcome").withColumn("data", F.col("bytes") - F.col("overhead"))
+    sized = sized.withColumn("start", F.coalesce(F.sum("data").over(line), F.lit(0.0)))
+    room = F.greatest(F.lit(target_bytes) - F.first("overhead"), F.lit(target_bytes) * 0.1)
+    groups = sized.groupBy("outcome", "event_date").agg(
+        F.sum("data").alias("total"),
+        F.count("*").alias("files"),
+        F.max("bytes").alias("largest"),
+        F.greatest(F.lit(1), F.round(F.sum("data") / room)).cast("long").alias("bins"),
+    )
+    # a row for each outcome and date
+    before = Window.orderBy("outcome", "event_date").rowsBetween(Window.unboundedPreceding, -1)
+    worth = groups if everything else groups.where((F.col("files") > F.col("bins")) | (F.col("largest") > 2 * target_bytes))
+    based = worth.withColumn("base", F.coalesce(F.sum("bins").over(before), F.lit(0))).withColumn("share", F.col("total") / F.col("bins"))
+    return sized.join(based.select("outcome", "event_date", "bins", "base", "share"), ["outcome", "event_date"])
+
+
+def _merge(spark: SparkSession, root: str, target_bytes: int, chosen, everything: bool) -> str | None:
+    from loglathe.sinks.tables import Layout
+
+    version, entries = current_list(spark, root)
+    now = counts(counting_batches(spark, root, entries), hidden_parts(entries))
+    files = stored_files(spark, root).where(now)
+    # a stream may write its last batch once more
+    newest = F.max("batch").over(Window.partitionBy("run"))
+    parts = files.groupBy(*PART_KEY).agg(F.sum("bytes").alias("sum"), F.count("*").alias("n"), F.max("bytes").alias("most"))
+    if chosen is not None:
+        parts = parts.where(chosen)
+    else:
+        parts = parts.withColumn("newest", newest).where(~F.col("run").startswith("stream-") | (F.col("batch") < F.col("newest")))
+    if not everything:
+        parts = parts.where((F.col("sum") < target_bytes / 2 * F.col("n")) | (F.col("most") > 2 * target_bytes))
+    taken = files.join(parts.select(*PART_KEY), list(PART_KEY), "left_semi")
+    if everything and taken.select("run", "batch").distinct().limit(2).count() < 2:
+        return None
+    places = [r["p"] for r in taken.select(_folder(root).alias("p")).distinct().collect()]
+    if not places:
         return None
-    name = MERGED + uuid.uuid4().hex
-    rows = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*[batch_folder(root, run, b) for b in batches])
-    together = rows.drop("run", "batch").hint("rebalance", F.col("outcome"), F.col("event_date"))
-    together.write.partitionBy("outcome", "event_date").parquet(batch_folder(root, name, 0))
-    entries = spark.createDataFrame([(name, run, b) for b in batches], _LIST_SCHEMA).coalesce(1)
-    entries.select(F.to_json(F.struct("*")).alias("replaced")).write.json(f"{root}/{_LISTS}/{name}")
-    return name
+    source = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*places)
+    rows = source.groupBy(_key(F.col("_metadata.file_path")).alias("file")).agg(F.count("*").alias("rows"))
+    plan = _bins(taken.join(rows, "file"), target_bytes, everything).persist()
+    try:
+        wanted = plan.agg(F.sum("rows")).head()[0]
+        if not wanted:
+            return None
+        name = MERGED + uuid.uuid4().hex
+        slots = plan.select(*[F.col(c).alias(f"__{c}") for c in ("file", "rows", "start", "data", "share", "bins", "base")])
+        at = F.floor((F.col("__start") + F.col("__data") * F.col("__row") / F.col("__rows")) / F.col("__share"))
+        number = F.col("__base") + F.least(at, F.col("__bins") - 1)
+        path, row = _key(F.col("_metadata.file_path")).alias("__file"), F.col("_metadata.row_index").alias("__row")
+        placed = source.select("*", path, row).join(slots, "__file").withColumn("batch", number.cast("long"))
+        dealt = placed.drop("run", "__row", *slots.columns).repartition("batch")
+        folder = batch_folder(root, name)
+        dealt.write.partitionBy("batch", "outcome", "event_date").options(**Layout().options()).parquet(folder)
+        found = spark.read.parquet(folder).agg(F.count("*"), F.max("batch")).head()
+        if found[0] != wanted:
+            raise RuntimeError(f"{wanted} rows were merged into {found[0]}; {folder} does not count")
+        write_list(spark, root, version + 1, _listed(spark, entries, files, plan, name, found[1]))
+        return name
+    finally:
+        plan.unpersist()
+
+
+def _folder(root: str) -> Column:
+    return F.concat(F.lit(root), *[x for c in PART_KEY for x in (F.lit(f"/{c}="), F.col(c).cast("string"))])
+
+
+def _plain(run: Column) -> Column:
+    """A run's own name, without the number of the attempt."""
+    return F.substring_index(run, "@", 1)
+
+
+def _listed(spark: SparkSession, entries: DataFrame, files: DataFrame, plan: DataFrame, name: str, last: int) -> DataFrame:
+    """The entries once the files of ``plan`` are replaced by the run ``name``."""
+    taken = plan.select(*PART_KEY).distinct().withColumn("taken", F.lit(True))
+    parts = files.select(*PART_KEY).distinct().join(taken, list(PART_KEY), "left")
+    per_batch = parts.groupBy("run", "batch").agg(F.bool_and(F.coalesce("taken", F.lit(False))).alias("whole"), F.bool_or(F.coalesce("taken", F.lit(False))).alias("some"))
+    touched = per_batch.where("some").select(_plain(F.col("run")).alias("run"), "batch", "whole")
+    spread = F.explode(F.sequence("first", "last")).alias("batch")
+    old = {k: entries.where(F.col("kind") == k).select("run", spread) for k in ("gone", "kept")}
+    gone = touched.where("whole").select("run", "batch").union(old["gone"]).distinct()
+    kept = touched.where("not whole").select("run", "batch").union(old["kept"]).distinct().join(gone, ["run", "batch"], "left_anti")
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("outcome", "event_date")]
+    columns = ["kind", "run", "first", "last", "outcome", "event_date"]
+    spans = [ranges(b).select(F.lit(k).alias("kind"), "run", "first", "last", *nothing) for k, b in (("gone", gone), ("kept", kept))]
+    merged = spark.createDataFrame([("merged", name, 0, last, None, None)], ENTRY)
+    newly = taken.join(per_batch.where("some and not whole"), ["run", "batch"], "left_semi")
+    hidden = newly.select(F.lit("part").alias("kind"), "run", F.col("batch").alias("first"), F.col("batch").alias("last"), "outcome", "event_date")
+    stay = entries.where(F.col("kind").isin("merged", "part"))
+    return stay.unionByName(merged).unionByName(hidden.select(columns)).unionByName(spans[0].select(columns)).unionByName(spans[1].select(columns))
+
+
+def compact(spark: SparkSession, root: str, target_bytes: int = TARGET_BYTES) -> str | None:
+    """Merge small files of all runs into files of about ``target_bytes``; returns the merged run's name, or None if nothing is small.
+
+    Files come out between half and twice the target where an outcome and date has that much.  Merged runs are merged again when more small
+    files have come beside them. The newest batch of a stream is left alone.  Schemas of the files must go together (new columns are null
+    in older rows).
+    """
+    return _merge(spark, root, target_bytes, None, False)
+
+
+def merge_batches(spark: SparkSession, root: str, run: str, up_to: int, target_bytes: int = TARGET_BYTES) -> str | None:
+    """Merge all batches of one run that are not above ``up_to``, which must be finished; returns the merged run's name.
+
+    Batches merged before are left alone; with fewer than two to merge nothing happens.
+    """
+    return _merge(spark, root, target_bytes, (_plain(F.col("run")) == run) & (F.col("batch") <= up_to), True)
 
 
 def remove_replaced(spark: SparkSession, root: str) -> int:
-    """Remove the folders of replaced batches; returns how many there were."""
-    from loglathe.sinks.tables import batch_folder
+    """Delete the folders of batches and parts that no longer count; returns how many there were.
 
+    Readers that began before the merge may still need them. Entries that have done their work leave the list: those of runs that can't come again,
+    and parts.
+    """
+    version, entries = current_list(spark, root)
+    if not version:
+        return 0
+    files = stored_files(spark, root)
+    plain = _plain(F.col("run"))
+    gone = entries.where("kind = 'gone'").select(F.col("run").alias("r"), "first", "last")
+    whole = files.join(gone, (plain == F.col("r")) & F.col("batch").between(F.col("first"), F.col("last")), "left_semi")
     removed = 0
-    for r in merged_lists(spark, root).collect():
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(batch_folder(root, r["run"], r["batch"]))
-        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        removed += bool(files.exists(path) and files.delete(path, True))
+    for r in whole.select("run", "batch").distinct().collect():
+        removed += delete_folder(spark, f"{root}/run={r['run']}/batch={r['batch']}")
+        delete_if_empty(spark, f"{root}/run={r['run']}")
+    for r in hidden_parts(entries).select(_folder(root).alias("p")).collect():
+        removed += delete_folder(spark, r["p"])
+    once = F.col("run").startswith("batch-") | F.col("run").startswith(MERGED)
+    spread = F.explode(F.sequence("first", "last")).alias("batch")
+    for r in gone.select(F.col("r").alias("run"), spread).collect():
+        delete_folder(spark, mark_folder(root, r["run"], r["batch"]))
+    finished = entries.where(F.col("kind").isin("gone", "kept") & once | (F.col("kind") == "part"))
+    # a merged run that was merged again altogether has no folder left
+    left = stored_files(spark, root).select("run").distinct()
+    dead = entries.where("kind = 'merged'").join(left, "run", "left_anti")
+    write_list(spark, root, version + 1, entries.exceptAll(finished).exceptAll(dead))
+    for old in range(max(1, version - 10), version + 1):
+        delete_folder(spark, list_folder(root, old))
     return removed

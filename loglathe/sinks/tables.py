@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -10,14 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loglathe.sinks.merge import is_replaced, visible
+from loglathe.sinks.commits import ATTEMPT, MERGED, batch_folder, done_attempts, visible, write_batch
 
 DEFAULT_TABLE = "parsed_logs"
 #: marks columns that take no null; file formats keep no such constraint of their own
 REQUIRED = "required"
 GOOD, REJECT = "good", "reject"
 
-_RUN = re.compile(r"[A-Za-z0-9_.-]{1,100}")
 _PLACES = ("run", "batch", "outcome", "event_date")
 
 
@@ -28,6 +26,8 @@ class Layout:
     row_group_bytes: int = 128 * 1024 * 1024
     page_bytes: int = 1024 * 1024
     max_records_per_file: int = 0  # 0 = no limit
+    target_file_bytes: int = 128 * 1024 * 1024  # what merging aims at
+    reject_file_bytes: int = 128 * 1024 * 1024  # where a file of reject texts ends; 0 = no limit
     compression: str = "zstd"
 
     def options(self) -> dict[str, str]:
@@ -73,9 +73,19 @@ def ensure_table(
     layout: Layout | None = None,
     properties: Mapping[str, str] | None = None,
     provider: str = "parquet",
+    add_columns: bool = False,
 ) -> str:
-    """Create the table if it is absent; otherwise compare its schema and fail when it has drifted."""
+    """Create the table if it is absent; otherwise compare its schema and fail when it has drifted.
+
+    With ``add_columns`` an existing table gets the columns that it doesn't have, null in older rows; ``sinks.evolving`` takes wider types too.
+    """
     if spark.catalog.tableExists(name):
+        if add_columns:
+            have = set(spark.table(name).schema.names)
+            new = [f for f in schema.fields if f.name not in have]
+            if new:
+                spark.sql(f"ALTER TABLE {name} ADD COLUMNS (" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new) + ")")
+            schema = T.StructType([*schema.fields, *[f for f in spark.table(name).schema.fields if f.name not in schema.names]])
         differences = schema_differences(spark.table(name).schema, schema)
         if differences:
             raise ValueError(f"Table {name} does not have the expected schema: " + "; ".join(differences))
@@ -137,13 +147,6 @@ def distribute(df: DataFrame, partition_by: Sequence[str], mode: str) -> DataFra
     raise ValueError(f"Unknown distribution: {mode}")
 
 
-def batch_folder(root: str, run: str, batch: int) -> str:
-    """Where one batch of one run lies."""
-    if not _RUN.fullmatch(run):
-        raise ValueError(f"Invalid run name: {run}")
-    return f"{root}/run={run}/batch={batch}"
-
-
 def write_outcomes(
     outcomes: DataFrame,
     root: str,
@@ -152,23 +155,26 @@ def write_outcomes(
     *,
     layout: Layout | None = None,
     distribution: str = "none",
+    keep_replaced: bool = False,
 ) -> None:
     """Write good rows and rejects of one batch in a single pass over it.
 
     Files land in ``root/run=R/batch=N/outcome=good|reject/event_date=..``.  Writing the same batch of the same run again
     replaces all that it left, good and rejected, whatever the dates and also when there are no rows now; nothing else is
-    touched.
+    touched.  The new attempt is written beside the old one and counts from its marker on (``commits``), so readers find the old
+    rows until they find the new ones, also if the job is killed.  The old attempt's folder is deleted then; readers that are still in
+    it fail, and ``keep_replaced`` leaves it to them.  A batch that was merged with others can't be replaced.
     """
-    if is_replaced(outcomes.sparkSession, root, run, batch):
-        raise ValueError(f"Batch {batch} of run {run} has been merged with others and can't be replaced")
+    if run.startswith(MERGED):
+        raise ValueError(f"Run names that start with {MERGED} are for merged batches: {run}")
     rows = distribute(outcomes, ("outcome", "event_date"), distribution)
-    (
+    writer = (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .options(**(layout or Layout()).options())
         .partitionBy("outcome", "event_date")
-        .parquet(batch_folder(root, run, batch))
     )
+    write_batch(outcomes.sparkSession, root, run, batch, writer.parquet, keep_replaced=keep_replaced)
 
 
 def read_outcomes(
@@ -182,11 +188,18 @@ def read_outcomes(
     """One kind of outcome, of all batches or of one of a run; only those folders are listed and read.
 
     ``schema`` holds the wanted columns, ``event_date``, ``run`` and ``batch`` too if wanted.  A folder that does not exist is an
-    error.
+    error; a batch that was not finished has no rows.
     """
     kept = [f for f in schema.fields if f.name not in _PLACES]
     full = T.StructType([*kept, *[T.StructField(n, T.LongType() if n == "batch" else T.StringType()) for n in _PLACES]])
-    folder = root if run is None else batch_folder(root, run, batch or 0)
-    rows = spark.read.schema(full).option("basePath", root).parquet(folder)
-    seen = (F.col("outcome") == outcome) if run is not None else (F.col("outcome") == outcome) & visible(spark, root)
-    return rows.where(seen).select(*schema.names)
+    seen = F.col("outcome") == outcome
+    if run is None:
+        rows = spark.read.schema(full).option("basePath", root).parquet(root)
+        seen &= visible(spark, root)
+    else:
+        attempts = done_attempts(spark, root, run, batch or 0)
+        folder = batch_folder(root, run, batch or 0, attempts[-1] if attempts else 1)
+        rows = spark.read.schema(full).option("basePath", root).parquet(folder)
+        seen &= F.lit(bool(attempts))
+    own = F.substring_index("run", ATTEMPT, 1).alias("run")
+    return rows.where(seen).select(*[own if c == "run" else c for c in schema.names])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from loglathe.operators.quality import RATE_SLIDE_SECONDS, RATE_WINDOW_SECONDS, counter_columns
+from loglathe.operators.quality import RATE_SLIDE_SECONDS, RATE_WINDOW_SECONDS, counter_columns, window_rates
 from loglathe.plans.flow import Flow
 from loglathe.sources.files import stream_lines
 
@@ -81,7 +81,7 @@ def stream_rates(
 
     Rows are counted per slide first, and these counts make the windows, so a row is never copied.  ``watermark`` says how late
     a row may be: later ones are left out, and a window appears once the watermark has passed it.  The windows that are
-    still open when a stream ends are not emitted; ``records_per_second`` over the stored rows has them.
+    still open when a stream stops are in its state, and ``open_rates`` reads them; ``ledger.rate_ledger`` counts late rows too.
     """
     if window_seconds % slide_seconds:
         raise ValueError("The window must be a whole number of slides")
@@ -98,3 +98,32 @@ def stream_rates(
             (F.col("records") / F.lit(float(window_seconds))).alias("records_per_second"),
         )
     )
+
+
+def open_rates(
+    spark: SparkSession,
+    checkpoint: str,
+    window_seconds: int = RATE_WINDOW_SECONDS,
+    slide_seconds: int = RATE_SLIDE_SECONDS,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """The windows that a stopped ``stream_rates`` stream has not emitted, as far as they are counted, from its state.
+
+    With the emitted ones they are all windows, each once.  They are not written anywhere: a stream that goes on emits them when they are
+    closed.  Slides that are still open are the state of the first count, windows that are open that of the second.
+    """
+
+    def state(operator: int) -> DataFrame:
+        return spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+
+    # an operator's key holds the group columns in their order, its value the one sum or count
+    def counted(operator: int) -> DataFrame:
+        rows = state(operator)
+        keys, value = rows.schema["key"].dataType.names, rows.schema["value"].dataType.names[0]
+        window, *groups = (F.col(f"key.`{k}`") for k in keys)
+        return rows.select(window["start"].alias("start"), *[g.alias(b) for g, b in zip(groups, by, strict=True)], F.col(f"value.`{value}`").alias("n"))
+
+    slides = window_rates(counted(0), by, window_seconds, slide_seconds).select("window_start", *by, "records")
+    windows = counted(1).select(F.col("start").alias("window_start"), *by, F.col("n").alias("records"))
+    whole = slides.unionByName(windows).groupBy("window_start", *by).agg(F.sum("records").alias("records"))
+    return whole.withColumn("records_per_second", F.col("records") / F.lit(float(window_seconds)))
