@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loglathe.sinks.commits import counting_batches, counts, current_list, hidden_parts, notes, read_small, write_batch
+from loglathe.sinks.commits import load_state, names_in, read_small, write_batch, write_small
 from loglathe.sinks.tables import Layout
 
 _SCHEMAS = "_schemas"
@@ -59,8 +59,8 @@ def join_schemas(schemas: Iterable[T.StructType]) -> T.StructType:
 
 def schema_versions(spark: SparkSession, root: str) -> dict[int, T.StructType]:
     """All versions of the schema; a version counts when its file is there."""
-    rows = read_small(spark, f"{root}/{_SCHEMAS}", "version int, fields string").collect()
-    return {r["version"]: T.StructType.fromJson(json.loads(r["fields"])) for r in rows}
+    found = [int(n.removesuffix(".json")) for n in names_in(spark, f"{root}/{_SCHEMAS}") if n.endswith(".json") and not n.startswith(".")]
+    return {v: T.StructType.fromJson(json.loads(read_small(spark, f"{root}/{_SCHEMAS}/{v}.json"))) for v in sorted(found)}
 
 
 def _relaxed(schema: T.StructType) -> T.StructType:
@@ -77,8 +77,7 @@ def evolve_schema(spark: SparkSession, root: str, schema: T.StructType) -> int:
     wanted = _relaxed(join_schemas([versions[newest], schema]) if versions else schema)
     if versions and wanted == versions[newest]:
         return newest
-    row = spark.createDataFrame([(newest + 1, json.dumps(wanted.jsonValue()))], "version int, fields string")
-    row.coalesce(1).write.json(f"{root}/{_SCHEMAS}/{newest + 1}")
+    write_small(spark, f"{root}/{_SCHEMAS}/{newest + 1}.json", json.dumps(wanted.jsonValue()))
     return newest + 1
 
 
@@ -102,12 +101,11 @@ def read_evolving(spark: SparkSession, root: str) -> DataFrame:
     if not versions:
         raise ValueError(f"No schema under {root}")
     target = versions[max(versions)]
-    _, entries = current_list(spark, root)
+    state = load_state(spark, root)
     places = [T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())]
     parts = []
-    for version in map(int, notes(spark, root)):
-        now = counts(counting_batches(spark, root, entries, str(version)), hidden_parts(entries))
+    for version in sorted({int(note) for _, note in state.marks.values()}):
         own = versions[version]
-        rows = spark.read.schema(T.StructType([*own.fields, *places])).parquet(root).where(now)
+        rows = spark.read.schema(T.StructType([*own.fields, *places])).parquet(root).where(state.condition(str(version)))
         parts.append(rows.select(*[(F.col(f"`{f.name}`") if f.name in own.names else F.lit(None)).cast(f.dataType).alias(f.name) for f in target.fields]))
     return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], target)

@@ -20,21 +20,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loglathe.sinks.commits import (
-    ENTRY,
+    ATTEMPT,
     MERGED,
     PART_KEY,
+    State,
     batch_folder,
-    counting_batches,
-    counts,
-    current_list,
+    batches_of,
     delete_folder,
     delete_if_empty,
-    hidden_parts,
-    list_folder,
-    mark_folder,
-    ranges,
+    forget_marks,
+    load_state,
+    plain_run,
+    save_list,
+    spans_of,
     visible,
-    write_list,
 )
 
 __all__ = ["compact", "merge_batches", "remove_replaced", "visible"]
@@ -80,12 +79,18 @@ def _bins(files: DataFrame, target_bytes: int, everything: bool) -> DataFrame:
     return sized.join(based.select("outcome", "event_date", "bins", "base", "share"), ["outcome", "event_date"])
 
 
-def _merge(spark: SparkSession, root: str, target_bytes: int, chosen, everything: bool) -> str | None:
+def _merge(spark: SparkSession, root: str, target_bytes: int, chosen: Column | None, everything: bool) -> str | None:
+    state = load_state(spark, root)
+    files = stored_files(spark, root).where(state.condition()).persist()
+    try:
+        return _merge_files(spark, root, state, files, target_bytes, chosen, everything)
+    finally:
+        files.unpersist()
+
+
+def _merge_files(spark: SparkSession, root: str, state: State, files: DataFrame, target_bytes: int, chosen: Column | None, everything: bool) -> str | None:
     from loglathe.sinks.tables import Layout
 
-    version, entries = current_list(spark, root)
-    now = counts(counting_batches(spark, root, entries), hidden_parts(entries))
-    files = stored_files(spark, root).where(now)
     # a stream may write its last batch once more
     newest = F.max("batch").over(Window.partitionBy("run"))
     parts = files.groupBy(*PART_KEY).agg(F.sum("bytes").alias("sum"), F.count("*").alias("n"), F.max("bytes").alias("most"))
@@ -120,7 +125,8 @@ def _merge(spark: SparkSession, root: str, target_bytes: int, chosen, everything
         found = spark.read.parquet(folder).agg(F.count("*"), F.max("batch")).head()
         if found[0] != wanted:
             raise RuntimeError(f"{wanted} rows were merged into {found[0]}; {folder} does not count")
-        write_list(spark, root, version + 1, _listed(spark, entries, files, plan, name, found[1]))
+        _replace(state, files, plan, name, found[1])
+        save_list(spark, root, state)
         return name
     finally:
         plan.unpersist()
@@ -130,29 +136,19 @@ def _folder(root: str) -> Column:
     return F.concat(F.lit(root), *[x for c in PART_KEY for x in (F.lit(f"/{c}="), F.col(c).cast("string"))])
 
 
-def _plain(run: Column) -> Column:
-    """A run's own name, without the number of the attempt."""
-    return F.substring_index(run, "@", 1)
-
-
-def _listed(spark: SparkSession, entries: DataFrame, files: DataFrame, plan: DataFrame, name: str, last: int) -> DataFrame:
-    """The entries once the files of ``plan`` are replaced by the run ``name``."""
-    taken = plan.select(*PART_KEY).distinct().withColumn("taken", F.lit(True))
-    parts = files.select(*PART_KEY).distinct().join(taken, list(PART_KEY), "left")
-    per_batch = parts.groupBy("run", "batch").agg(F.bool_and(F.coalesce("taken", F.lit(False))).alias("whole"), F.bool_or(F.coalesce("taken", F.lit(False))).alias("some"))
-    touched = per_batch.where("some").select(_plain(F.col("run")).alias("run"), "batch", "whole")
-    spread = F.explode(F.sequence("first", "last")).alias("batch")
-    old = {k: entries.where(F.col("kind") == k).select("run", spread) for k in ("gone", "kept")}
-    gone = touched.where("whole").select("run", "batch").union(old["gone"]).distinct()
-    kept = touched.where("not whole").select("run", "batch").union(old["kept"]).distinct().join(gone, ["run", "batch"], "left_anti")
-    nothing = [F.lit(None).cast("string").alias(c) for c in ("outcome", "event_date")]
-    columns = ["kind", "run", "first", "last", "outcome", "event_date"]
-    spans = [ranges(b).select(F.lit(k).alias("kind"), "run", "first", "last", *nothing) for k, b in (("gone", gone), ("kept", kept))]
-    merged = spark.createDataFrame([("merged", name, 0, last, None, None)], ENTRY)
-    newly = taken.join(per_batch.where("some and not whole"), ["run", "batch"], "left_semi")
-    hidden = newly.select(F.lit("part").alias("kind"), "run", F.col("batch").alias("first"), F.col("batch").alias("last"), "outcome", "event_date")
-    stay = entries.where(F.col("kind").isin("merged", "part"))
-    return stay.unionByName(merged).unionByName(hidden.select(columns)).unionByName(spans[0].select(columns)).unionByName(spans[1].select(columns))
+def _replace(state: State, files: DataFrame, plan: DataFrame, name: str, last: int) -> None:
+    """Let ``state`` say that the files of ``plan`` are replaced by the run ``name``; the driver sees their parts."""
+    taken = {tuple(r) for r in plan.select(*PART_KEY).distinct().collect()}
+    some = {p[:2] for p in taken}
+    batches = plan.select("run", "batch").distinct()
+    left = files.join(batches, ["run", "batch"], "left_semi").select(*PART_KEY).distinct().collect()
+    partly = {(r["run"], r["batch"]) for r in left if tuple(r) not in taken}
+    gone = {(plain_run(run), b) for run, b in some - partly}
+    kept = {(plain_run(run), b) for run, b in some & partly}
+    state.merged[name] = [(0, last)]
+    state.gone = spans_of(batches_of(state.gone) | gone)
+    state.kept = spans_of((batches_of(state.kept) | kept) - gone)
+    state.parts = {p for p in state.parts | taken if p[:2] in partly or p in state.parts and p[:2] not in some}
 
 
 def compact(spark: SparkSession, root: str, target_bytes: int = TARGET_BYTES) -> str | None:
@@ -170,7 +166,7 @@ def merge_batches(spark: SparkSession, root: str, run: str, up_to: int, target_b
 
     Batches merged before are left alone; with fewer than two to merge nothing happens.
     """
-    return _merge(spark, root, target_bytes, (_plain(F.col("run")) == run) & (F.col("batch") <= up_to), True)
+    return _merge(spark, root, target_bytes, (F.substring_index("run", ATTEMPT, 1) == run) & (F.col("batch") <= up_to), True)
 
 
 def remove_replaced(spark: SparkSession, root: str) -> int:
@@ -179,28 +175,27 @@ def remove_replaced(spark: SparkSession, root: str) -> int:
     Readers that began before the merge may still need them. Entries that have done their work leave the list: those of runs that can't come again,
     and parts.
     """
-    version, entries = current_list(spark, root)
-    if not version:
+    state = load_state(spark, root)
+    if not state.version:
         return 0
-    files = stored_files(spark, root)
-    plain = _plain(F.col("run"))
-    gone = entries.where("kind = 'gone'").select(F.col("run").alias("r"), "first", "last")
-    whole = files.join(gone, (plain == F.col("r")) & F.col("batch").between(F.col("first"), F.col("last")), "left_semi")
-    removed = 0
-    for r in whole.select("run", "batch").distinct().collect():
-        removed += delete_folder(spark, f"{root}/run={r['run']}/batch={r['batch']}")
-        delete_if_empty(spark, f"{root}/run={r['run']}")
-    for r in hidden_parts(entries).select(_folder(root).alias("p")).collect():
-        removed += delete_folder(spark, r["p"])
-    once = F.col("run").startswith("batch-") | F.col("run").startswith(MERGED)
-    spread = F.explode(F.sequence("first", "last")).alias("batch")
-    for r in gone.select(F.col("r").alias("run"), spread).collect():
-        delete_folder(spark, mark_folder(root, r["run"], r["batch"]))
-    finished = entries.where(F.col("kind").isin("gone", "kept") & once | (F.col("kind") == "part"))
-    # a merged run that was merged again altogether has no folder left
-    left = stored_files(spark, root).select("run").distinct()
-    dead = entries.where("kind = 'merged'").join(left, "run", "left_anti")
-    write_list(spark, root, version + 1, entries.exceptAll(finished).exceptAll(dead))
-    for old in range(max(1, version - 10), version + 1):
-        delete_folder(spark, list_folder(root, old))
+    gone, removed = batches_of(state.gone), 0
+    folders = {(r["run"], r["batch"]) for r in stored_files(spark, root).select("run", "batch").distinct().collect()}
+    for run, batch in sorted(folders):
+        if (plain_run(run), batch) in gone:
+            removed += delete_folder(spark, f"{root}/run={run}/batch={batch}")
+            delete_if_empty(spark, f"{root}/run={run}")
+    for part in sorted(state.parts):
+        removed += delete_folder(spark, root + "".join(f"/{c}={v}" for c, v in zip(PART_KEY, part, strict=True)))
+    forget_marks(spark, root, gone)
+    left = {plain_run(run) for run, batch in folders if (plain_run(run), batch) not in gone}
+    state.parts = set()
+    state.merged = {run: spans for run, spans in state.merged.items() if run in left}
+    for kind in ("gone", "kept"):
+        setattr(state, kind, {run: spans for run, spans in getattr(state, kind).items() if not _once(run) or run in left})
+    save_list(spark, root, state)
     return removed
+
+
+def _once(run: str) -> bool:
+    """Names that are made for one batch and never come again."""
+    return run.startswith(("batch-", MERGED))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loglathe.sinks.commits import ATTEMPT, MERGED, batch_folder, done_attempts, visible, write_batch
+from loglathe.sinks.commits import ATTEMPT, MERGED, batch_folder, newest_attempt, visible, write_batch
 
 DEFAULT_TABLE = "parsed_logs"
 #: marks columns that take no null; file formats keep no such constraint of their own
@@ -197,9 +197,9 @@ def read_outcomes(
         rows = spark.read.schema(full).option("basePath", root).parquet(root)
         seen &= visible(spark, root)
     else:
-        attempts = done_attempts(spark, root, run, batch or 0)
-        folder = batch_folder(root, run, batch or 0, attempts[-1] if attempts else 1)
+        attempt = newest_attempt(spark, root, run, batch or 0)
+        folder = batch_folder(root, run, batch or 0, attempt or 1)
         rows = spark.read.schema(full).option("basePath", root).parquet(folder)
-        seen &= F.lit(bool(attempts))
+        seen &= F.lit(attempt > 0)
     own = F.substring_index("run", ATTEMPT, 1).alias("run")
     return rows.where(seen).select(*[own if c == "run" else c for c in schema.names])

@@ -32,7 +32,7 @@ from loglathe.operators.quality import (
     streak_pieces,
     window_rates,
 )
-from loglathe.sinks.commits import MERGED, batch_folder, counting_batches, counts, current_list, hidden_parts, list_entries, ranges, write_batch, write_list
+from loglathe.sinks.commits import MERGED, batch_folder, batches_of, load_state, save_list, spans_of, write_batch
 from loglathe.streaming.runner import stream_run, trigger_options
 
 #: which stream a row is of, and its batch; a folded row has the place before the newest batch
@@ -60,8 +60,7 @@ class Ledger:
 
     def rows(self, spark: SparkSession) -> DataFrame:
         """The recorded rows of all batches that count, folded ones too."""
-        _, entries = current_list(spark, self.root)
-        now = counts(counting_batches(spark, self.root, entries), hidden_parts(entries))
+        now = load_state(spark, self.root).condition()
         return spark.read.option("mergeSchema", "true").parquet(self.root).where(now).drop("run", "batch")
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -73,27 +72,23 @@ class Ledger:
 
         The folded rows are written as a run of their own, and the list that replaces the batches by it is written last.
         """
-        version, entries = current_list(spark, self.root)
-        spans = counting_batches(spark, self.root, entries)
-        plain = spans.where(~F.col("run").startswith(MERGED)).select(
-            F.substring_index("run", "@", 1).alias("run"), F.explode(F.sequence("first", "last")).alias("batch")
-        )
-        newest = plain.groupBy("run").agg(F.max("batch").alias("last"))
-        old = plain.join(newest, "run").where("batch < last").select("run", "batch")
-        folded = old.count()
-        if not folded:
+        state = load_state(spark, self.root)
+        own = {b for b in state.marks if not state.is_fixed(*b)}
+        newest: dict[str, int] = {}
+        for run, batch in own:
+            newest[run] = max(batch, newest.get(run, 0))
+        old = {(run, b) for run, b in own if b < newest[run]}
+        if not old:
             return 0
-        limits = newest.select(F.col("run").alias(STREAM), (F.col("last") - 1).alias("before"))
-        rows = self.rows(spark)
-        whole = self.join(rows.join(limits, STREAM).where(F.col(PLACE) <= F.col("before")).drop("before"), [STREAM, *self.by])
+        limits = spark.createDataFrame([(run, b - 1) for run, b in newest.items()], f"{STREAM} string, before long")
+        before = self.rows(spark).join(limits, STREAM).where(F.col(PLACE) <= F.col("before")).drop("before")
         name = MERGED + uuid.uuid4().hex
-        whole.join(limits, STREAM).withColumnRenamed("before", PLACE).write.parquet(batch_folder(self.root, name, 0))
-        every = F.explode(F.sequence("first", "last")).alias("batch")
-        before = entries.where("kind = 'gone'").unionByName(spans.where(F.col("run").startswith(MERGED)), allowMissingColumns=True)
-        gone = ranges(old.unionByName(before.select("run", every)).distinct()).withColumn("kind", F.lit("gone"))
-        merged = spark.createDataFrame([("merged", name, 0, 0)], "kind string, run string, first long, last long")
-        write_list(spark, self.root, version + 1, list_entries(gone.unionByName(merged)))
-        return folded
+        whole = self.join(before, [STREAM, *self.by]).join(limits, STREAM).withColumnRenamed("before", PLACE)
+        whole.write.parquet(batch_folder(self.root, name, 0))
+        state.gone = spans_of(batches_of(state.gone) | old | batches_of(state.merged))
+        state.merged = {name: [(0, 0)]}
+        save_list(spark, self.root, state)
+        return len(old)
 
 
 def run_ledger(stream: DataFrame, ledgers: Sequence[Ledger], checkpoint: str, *, every_minutes: float | None = 1) -> StreamingQuery:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from loglathe.plans.flow import run_batch
 from loglathe.sinks import merge
-from loglathe.sinks.commits import current_list, ranges, visible
+from loglathe.sinks.commits import batches_of, load_state, spans_of, visible
 from loglathe.sinks.merge import compact, merge_batches, remove_replaced, stored_files
 from loglathe.sinks.tables import read_outcomes, write_outcomes
 from loglathe.streaming.runner import run_stream
@@ -63,8 +63,9 @@ def test_runs_of_their_own_are_merged_to_the_target(spark, folder):
     assert all(len(v) == 1 for v in sizes(spark, root).values())
     remove_replaced(spark, root)
     assert rows(spark, root) == expected(lines)
-    _, entries = current_list(spark, root)
-    assert entries.where("kind <> 'merged'").isEmpty() and len(os.listdir(f"{root}/_lists")) == 1
+    state = load_state(spark, root)
+    assert not (state.gone or state.kept or state.parts or state.marks) and len(state.merged) == 1
+    assert len([f for f in os.listdir(f"{root}/_lists") if f.endswith(".json") and f[0] != "."]) <= 2 and not os.listdir(f"{root}/_done")
 
 
 def test_a_file_far_above_the_target_is_cut(spark, folder):
@@ -81,8 +82,8 @@ def test_only_small_parts_of_a_batch_are_taken(spark, folder):
     run_batch(spark, f"{folder}/b", FLOW, root, run="b")
     assert compact(spark, root, 120_000) is not None  # rejects only
     assert rows(spark, root) == expected(lines)
-    _, entries = current_list(spark, root)
-    assert {r["kind"] for r in entries.collect()} == {"merged", "kept", "part"}
+    state = load_state(spark, root)
+    assert state.merged and state.kept and state.parts and not state.gone
     with pytest.raises(ValueError, match="has been merged"):
         run_batch(spark, f"{folder}/a", FLOW, root, run="a")
     assert remove_replaced(spark, root) == 2 and rows(spark, root) == expected(lines)
@@ -100,7 +101,7 @@ def test_a_merge_that_dies_before_its_list_changes_nothing(spark, folder, monkey
         raise RuntimeError("killed")
 
     with monkeypatch.context() as m:
-        m.setattr(merge, "write_list", die)
+        m.setattr(merge, "save_list", die)
         with pytest.raises(RuntimeError, match="killed"):
             compact(spark, root, 1_000_000)
     assert any(d.startswith("run=merged-") for d in os.listdir(root)) and rows(spark, root) == expected(lines)
@@ -114,8 +115,7 @@ def test_newest_batch_of_a_stream_is_left_alone(spark, folder):
     root = f"{folder}/out"
     run_stream(spark, f"{folder}/in", FLOW, root, f"{folder}/s", every_minutes=None, max_files_per_batch=1).awaitTermination()
     assert compact(spark, root, 1_000_000) is not None and rows(spark, root) == expected(lines)
-    _, entries = current_list(spark, root)
-    assert [(r["first"], r["last"]) for r in entries.where("kind = 'gone'").collect()] == [(0, 2)]
+    assert list(load_state(spark, root).gone.values()) == [[(0, 2)]]
 
 
 def test_names_of_merged_runs_are_refused(spark, folder):
@@ -170,9 +170,9 @@ def test_replaced_attempts_can_be_kept_for_their_readers(spark, folder):
     assert read_outcomes(spark, root, FLOW.good_schema(spark), "good", "r", 3).count() == 0
 
 
-def test_lists_hold_ranges(spark):
-    batches = spark.createDataFrame([("a", b) for b in (*range(100_000), 100_005)] + [("b", 7)], "run string, batch long")
-    assert sorted(map(tuple, ranges(batches).collect())) == [("a", 0, 99_999), ("a", 100_005, 100_005), ("b", 7, 7)]
+def test_lists_hold_ranges():
+    batches = {("a", b) for b in (*range(100_000), 100_005)} | {("b", 7)}
+    assert spans_of(batches) == {"a": [(0, 99_999), (100_005, 100_005)], "b": [(7, 7)]} and batches_of(spans_of(batches)) == batches
 
 
 def test_merge_of_one_run_takes_all_its_batches(spark, folder):
