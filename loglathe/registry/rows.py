@@ -328,7 +328,7 @@ def _json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         '{"at":"', F.date_format("ts", "yyyy-MM-dd"), '","user":{"id":', "user_id", ',"kind":"', "event_type", '"},"list":[', "event_id", ",", "user_id",
         '],"mixed":', F.when(F.col("event_id") % 2 == 0, F.col("event_id").cast("string")).otherwise('"x"'), ',"props":', "props", "}",
     ]
-    columns = ("user_id", "event_type", "event_id", "props")
-    text = F.concat(*[F.col(p).cast("string") if p in columns else F.lit(p) if isinstance(p, str) else p for p in pieces])
-    wide = nested_columns(read_events(spark, sf_dir).select("event_id", text.alias("value")), "value")
+    events = read_events(spark, sf_dir)
+    cells = [p if not isinstance(p, str) else F.col(p).cast("string") if p in events.columns else F.lit(p) for p in pieces]
+    wide = nested_columns(events.select("event_id", F.concat(*cells).alias("value")), "value")
     return wide.select("event_id", "at", "props_k", "user_id", "user_kind", F.col("rest")["mixed"].cast("string").alias("mixed"), F.element_at("list", -1).alias("list_end"))

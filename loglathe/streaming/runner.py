@@ -113,17 +113,15 @@ def open_rates(
     closed.  Slides that are still open are the state of the first count, windows that are open that of the second.
     """
 
-    def state(operator: int) -> DataFrame:
-        return spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
-
-    # an operator's key holds the group columns in their order, its value the one sum or count
-    def counted(operator: int) -> DataFrame:
-        rows = state(operator)
+    # an operator's key holds the group columns in their order, its value the count of the first or the sum of the second
+    found = {}
+    for operator in (0, 1):
+        rows = spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
         keys, value = rows.schema["key"].dataType.names, rows.schema["value"].dataType.names[0]
         window, *groups = (F.col(f"key.`{k}`") for k in keys)
-        return rows.select(window["start"].alias("start"), *[g.alias(b) for g, b in zip(groups, by, strict=True)], F.col(f"value.`{value}`").alias("n"))
-
-    slides = window_rates(counted(0), by, window_seconds, slide_seconds).select("window_start", *by, "records")
-    windows = counted(1).select(F.col("start").alias("window_start"), *by, F.col("n").alias("records"))
+        named = [g.alias(b) for g, b in zip(groups, by, strict=True)]
+        found[value] = rows.select(window["start"].alias("start"), *named, F.col(f"value.`{value}`").alias("n"))
+    slides = window_rates(found["count"], by, window_seconds, slide_seconds).select("window_start", *by, "records")
+    windows = found["sum"].select(F.col("start").alias("window_start"), *by, F.col("n").alias("records"))
     whole = slides.unionByName(windows).groupBy("window_start", *by).agg(F.sum("records").alias("records"))
     return whole.withColumn("records_per_second", F.col("records") / F.lit(float(window_seconds)))

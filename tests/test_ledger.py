@@ -134,3 +134,26 @@ def test_a_stream_that_dies_says_nothing_twice(spark, folder, monkeypatch):
     same(files[0].read(spark), parse_counters(rows, ["file_path"], "value"))
     same(files[1].read(spark), parse_counters(rows, ["source"], "value"))
     assert os.path.isdir(f"{folder}/f/_done")
+
+
+@pytest.mark.parametrize("by", [[], ["source"]])
+def test_emitted_and_open_windows_are_all_windows(spark, folder, by):
+    from loglathe.streaming.runner import open_rates, stream_rates
+
+    rows = events(spark, 3, 500)
+    for i in range(3):
+        rows.where(F.col("n").between(170 * i, 170 * i + 169)).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    def run():
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        rates = stream_rates(stream, watermark="30 seconds", by=by)
+        writer = rates.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state")
+        writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+        closed, left = spark.read.parquet(f"{folder}/out"), open_rates(spark, f"{folder}/state", by=by)
+        assert closed.count() and left.count()
+        return closed.unionByName(left)
+
+    same(run(), records_per_second(rows, by=by))
+    more = rows.withColumn("ts", F.col("ts") + F.expr("interval 1 hour"))
+    more.coalesce(1).write.mode("append").parquet(f"{folder}/in")  # the stream goes on, and emits what was open
+    same(run(), records_per_second(rows.unionByName(more), by=by))
