@@ -22,6 +22,8 @@ from loglathe.llm.common import crc_mod, map_arrow, query, small_batches, stored
 
 DIMENSIONS = 512
 UNKNOWN = "und"
+#: vectors of so many trigrams are held at a time
+BLOCK = 1 << 15
 #: prototypes are held by every task; more languages than this is an error, as the column would not hold languages
 MOST_LANGUAGES = 4096
 _POINTS = 0x110000
@@ -45,7 +47,10 @@ def _letter_vector(point: int) -> np.ndarray:
 
 
 class Trigrams:
-    """Counts of the distinct letter trigrams of each text of a batch, and the vectors of those trigrams."""
+    """Counts of the distinct letter trigrams of each text of a batch; their vectors are made in blocks.
+
+    A batch in a large script has very many distinct trigrams, so no more than ``BLOCK`` of their vectors are held at a time.
+    """
 
     def __init__(self, texts: list[str | None]) -> None:
         letter, lower = _letters()
@@ -69,16 +74,34 @@ class Trigrams:
         key = np.sort(owner[1:-1][whole] * cube + code)  # by the middle letter's text
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
         self.counts = np.diff(np.append(first, len(key))).astype(np.float32)
-        text, codes = np.divmod(key[first], cube)
-        self.first = np.searchsorted(text, np.arange(len(texts) + 1), "left")
-        distinct, self.at = np.unique(codes, return_inverse=True)
-        letters = np.stack([_letter_vector(int(p)) for p in self.alphabet])
-        rolled = np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1)
-        self.vectors = (rolled[0][distinct // size**2] * rolled[1][distinct // size % size] * letters[distinct % size]).astype(np.float32)
-
-    def of(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        span = slice(self.first[i], self.first[i + 1])
-        return self.at[span], self.counts[span]
+        self.text, codes = np.divmod(key[first], cube)
+        self.totals = np.bincount(self.text, self.counts, len(texts))
+        self.distinct, self.at = np.unique(codes, return_inverse=True)
+        self.letters = np.stack([_letter_vector(int(p)) for p in self.alphabet])
+
+    def vectors(self, block: slice) -> np.ndarray:
+        codes, size = self.distinct[block], len(self.alphabet)
+        # a letter's vector is rotated by its place
+        one, two, three = (np.roll(self.letters, r, axis=1)[i] for r, i in ((2, codes // size**2), (1, codes // size % size), (0, codes % size)))
+        one *= two
+        one *= three
+        return one.astype(np.float32)
+
+    def bundled(self, groups: np.ndarray, weights: np.ndarray, count: int) -> np.ndarray:
+        """The sum of the vectors of each of ``count`` groups; a group and a weight for each of the counts."""
+        out = np.zeros((count, DIMENSIONS))
+        order = np.lexsort((groups, self.at // BLOCK))
+        block, group = self.at[order] // BLOCK, groups[order]
+        first = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (group[1:] != group[:-1])])) if len(order) else np.zeros(0, np.int64)
+        held, vectors = -1, np.zeros((0, DIMENSIONS), np.float32)
+        for low, high in zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
+            if block[low] != held:
+                held = int(block[low])
+                vectors = self.vectors(slice(held * BLOCK, (held + 1) * BLOCK))
+            for begin in range(low, high, BLOCK):
+                which = order[begin : min(high, begin + BLOCK)]
+                out[group[low]] += weights[which].astype(np.float32) @ vectors[self.at[which] - held * BLOCK]
+        return out
 
 
 def language_prototypes(docs: DataFrame) -> dict[str, np.ndarray]:
@@ -90,14 +113,12 @@ def language_prototypes(docs: DataFrame) -> dict[str, np.ndarray]:
             if not batch.num_rows:
                 continue
             grams, languages = Trigrams(batch["text"].to_pylist()), batch["lang"].to_pylist()
-            weights: dict[str, np.ndarray] = {}
-            for i, language in enumerate(languages):
-                at, counts = grams.of(i)
-                if len(at):
-                    held = weights.setdefault(language, np.zeros(len(grams.vectors)))
-                    held[at] += counts / counts.sum()
-            for language, held in weights.items():
-                sums[language] = sums.get(language, 0) + held @ grams.vectors
+            names, of = np.unique(np.array(languages, object).astype(str), return_inverse=True)
+            weights = grams.counts / np.maximum(grams.totals, 1)[grams.text]
+            told = np.bincount(of[np.unique(grams.text)], minlength=len(names)) > 0
+            for name, has, vector in zip(names.tolist(), told, grams.bundled(of[grams.text], weights, len(names)), strict=True):
+                if has:
+                    sums[name] = sums.get(name, 0) + vector
         if sums:
             yield pa.record_batch([pa.array(list(sums)), pa.array(list(sums.values()), pa.list_(pa.float64()))], names=["lang", "sums"])
 
@@ -113,22 +134,17 @@ def language_prototypes(docs: DataFrame) -> dict[str, np.ndarray]:
 def predict_language(docs: DataFrame, prototypes: dict[str, np.ndarray], *keep: str) -> DataFrame:
     """The columns ``keep`` with ``lang_pred`` and ``score`` for each row of ``docs`` (text and those)."""
     names = sorted(prototypes)
-    matrix = np.stack([prototypes[n] for n in names]).astype(np.float32) if names else np.zeros((0, DIMENSIONS), np.float32)
+    matrix = np.stack([prototypes[n] for n in names]) if names else np.zeros((0, DIMENSIONS))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         grams = Trigrams(batch["text"].to_pylist())
-        found, scores = [], []
-        for i in range(batch.num_rows):
-            at, counts = grams.of(i)
-            if not len(at) or not names:
-                found.append(UNKNOWN)
-                scores.append(0.0)
-                continue
-            vector = counts @ grams.vectors[at]
-            cosines = matrix @ vector / max(float(np.linalg.norm(vector)), 1e-12)
+        vectors = grams.bundled(grams.text, grams.counts, batch.num_rows)
+        norms = np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)
+        found, scores = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows
+        for i in np.flatnonzero(grams.totals).tolist() if names else ():
+            cosines = matrix @ vectors[i] / norms[i]
             best = int(cosines.argmax())
-            found.append(names[best])
-            scores.append(min(1.0, max(0.0, float(cosines[best]))))
+            found[i], scores[i] = names[best], min(1.0, max(0.0, float(cosines[best])))
         return pa.record_batch([*[batch[c] for c in keep], pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
@@ -138,6 +154,9 @@ def predict_language(docs: DataFrame, prototypes: dict[str, np.ndarray], *keep:
 def identify(docs: DataFrame, train_rule) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for each row of ``docs`` (doc_id, text, lang).
 
+    At most ``MOST_LANGUAGES`` languages can be learned, more are an error.  Repeated rows count as often as they are there.  Texts of any length and
+    script are read whole; memory follows a batch's bytes, not its distinct trigrams.  An empty table gives no rows.
+
     Learns from rows with a language where ``train_rule`` holds (null counts as true). Texts that are null or have no letter are ``und``
     with score 0, and so is every text when nothing could be learned.  The score is the cosine, negative ones as 0; between
     equal ones the first language by name wins.

@@ -134,3 +134,67 @@ def test_odd_rows_languages(table_of):
     none = identify(table_of(rows), F.lit(False)).collect()
     assert {r["lang_pred"] for r in none} == {"und"}
     assert identify(table_of([]), F.lit(True)).collect() == []
+
+
+def plain_languages(rows, train):
+    """Prototypes and predictions text by text, trigram by trigram."""
+    from loglathe.llm.language_id import DIMENSIONS, _letter_vector
+
+    def bundle(text):
+        letters = [c.lower() if len(c.lower()) == 1 else c for c in text or ""]
+        symbols = [c if o.isalpha() else " " for c, o in zip(letters, text or "", strict=True)]
+        line = " " + " ".join("".join(symbols).split()) + " "
+        out, n = np.zeros(DIMENSIONS), 0
+        for a, b, c in zip(line, line[1:], line[2:], strict=False):
+            if b != " ":
+                one, two, three = (_letter_vector(ord(x)) for x in (a, b, c))
+                out += np.roll(one, 2) * np.roll(two, 1) * three
+                n += 1
+        return out, n
+
+    sums = {}
+    for i, text, language in rows:
+        vector, n = bundle(text)
+        if train(i) and language is not None and n:
+            sums[language] = sums.get(language, 0) + vector / n
+    unit = {k: v / np.linalg.norm(v) for k, v in sums.items()}
+    for i, text, _ in rows:
+        vector, n = bundle(text)
+        cosine = {k: float(v @ vector / np.linalg.norm(vector)) for k, v in unit.items()} if n else {}
+        best = max(sorted(cosine), key=cosine.get) if cosine else "und"
+        yield i, best, min(1.0, max(0.0, cosine.get(best, 0.0)))
+
+
+@pytest.mark.parametrize("block", [1 << 15, 64])
+def test_languages_equal_brute_force(spark, monkeypatch, block):
+    import loglathe.llm.language_id as module
+
+    monkeypatch.setattr(module, "BLOCK", block)
+    rng = random.Random(5)
+    scripts = {"a": "abcdeé", "b": "fghij k", "c": "".join(map(chr, range(0x4E00, 0x4E40)))}
+    rows = [(i, "".join(rng.choices(scripts[k] + " .1", k=rng.randrange(1, 90))), k) for i in range(90) for k in [rng.choice("abc")]]
+    rows += [(900, None, "a"), (901, "", "b"), (902, "12 !", "c"), (903, "abc abc", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = {r["doc_id"]: (r["lang_pred"], round(r["score"], 4)) for r in identify(df, F.col("doc_id") % 4 != 2).collect()}
+    want = {i: (k, round(s, 4)) for i, k, s in plain_languages(rows, lambda i: i % 4 != 2)}
+    assert {i: k for i, (k, _) in got.items()} == {i: k for i, (k, _) in want.items()}
+    assert all(abs(got[i][1] - want[i][1]) < 2e-3 for i in want)
+
+
+def test_a_large_script_takes_bounded_memory():
+    """A batch of 16 MB in a script of three thousand letters, in a process of its own."""
+    import subprocess
+    import sys
+
+    code = (
+        "import sys, random, resource; sys.path.insert(0, sys.argv[1])\n"
+        "import numpy as np\nfrom loglathe.llm.language_id import Trigrams\n"
+        "r = random.Random(1)\n"
+        "texts = [''.join(chr(0x4E00 + r.randrange(3000)) for _ in range(5600)) for _ in range(1000)]\n"
+        "g = Trigrams(texts)\nv = g.bundled(np.arange(1000)[g.text] * 0, g.counts, 1)\n"
+        "print(len(g.distinct), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)\n"
+    )
+    root = __file__.rsplit("/tests/", 1)[0]
+    out = subprocess.run([sys.executable, "-c", code, root], capture_output=True, text=True, timeout=300, check=True)
+    distinct, megabytes = map(int, out.stdout.split())
+    assert distinct > 4_000_000 and megabytes < 1500, out.stdout
