@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loglathe.llm.mixing import MIX_SQL, mix_sources, mixed, size_in_words
-from loglathe.llm.sharding import SLOTS, edit_slot_map, shard_documents
+from loglathe.llm.sharding import SLOTS, SlotMaps, edit_slot_map, numbered_copies, place_records, shard_documents, slot_weights
 from loglathe.llm.token_files import BLOCK_IDS, TokenReader, TokenWriter, pack, token_table, unpack
 from rows import ODD, words
 
@@ -144,3 +144,75 @@ def test_editing_a_map_moves_little(spark):
     moved = [sum(size[s] for s in m if m[s] != maps[0][s]) / sum(size.values()) for m in maps[1:]]
     assert moved[0] < 1.2 / 41 and moved[1] < 1.2 / 40
     assert {r["version"] for r in first.collect()} == {1} and {r["version"] for r in grown.collect()} == {2}
+
+
+def test_one_hot_id_and_equal_rows_are_spread(table_of):
+    rng = random.Random(9)
+    rows = [(i, "x" * rng.randrange(0, 300)) for i in range(4000)]
+    rows += [(None, "n" * rng.randrange(0, 300)) for _ in range(3000)] + [(77, "the same")] * 3000
+    got = shard_documents(table_of(rows), 40).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((i, len(t) + 16) for i, t in rows)
+    loads, places = Counter(), defaultdict(list)
+    for r in got:
+        loads[r["shard"]] += r["size"]
+        places[r["shard"]].append(r["slot"])
+    assert len(loads) == 40 and max(loads.values()) < 1.01 * min(loads.values())
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+def test_maps_hold_all_slots_and_versions_follow_each_other(spark, table_of, tmp_path):
+    maps = SlotMaps(spark, str(tmp_path / "maps"))
+    rng = random.Random(3)
+    first = [(i, "a" * rng.randrange(50, 300)) for i in range(3000)]
+    shard_documents(table_of(first), 10, maps).collect()
+    one = {r["vslot"]: r["shard"] for r in maps.newest().collect()}
+    assert set(one) == set(range(SLOTS))
+    other = [(i, "b" * rng.randrange(50, 300)) for i in range(5000, 9000)]
+    got = shard_documents(table_of(other), 11, maps).collect()
+    two = {r["vslot"]: r["shard"] for r in maps.newest().collect()}
+    assert set(two) == set(range(SLOTS)) and len(got) == 4000
+    assert {r["version"] for r in maps.newest().collect()} == {2}
+    assert sum(one[v] == two[v] for v in one) > 0.5 * SLOTS
+    empty = {r["vslot"] for r in maps.newest().where("bytes = 0").collect()}
+    assert empty and all(one[v] == two[v] for v in empty)
+
+
+def test_a_record_without_a_slot_is_an_error(spark, table_of):
+    records = numbered_copies(table_of([(i, "x") for i in range(50)]).select("doc_id")).withColumn("size", F.lit(1).cast("long"))
+    records = records.withColumn("vslot", (F.col("doc_id") % 20).cast("int"))
+    slot_map = edit_slot_map(slot_weights(records, 20), 4)
+    assert place_records(records, slot_map).count() == 50
+    with pytest.raises(Exception, match="Not in the slot map"):
+        place_records(records, slot_map.where("vslot <> 3")).collect()
+    with pytest.raises(Exception, match="Not in the slot map"):
+        place_records(records.union(records), slot_map).collect()
+
+
+def plain_deal(weights, shards, before=None):
+    """Slots kept while they fit, the rest to the emptiest shard, one after the other."""
+    share, loads, out = sum(weights.values()) / shards, [0] * shards, {}
+    for shard in range(shards):
+        held = 0
+        for v in sorted((v for v in weights if before and before[v] == shard), key=lambda v: (-weights[v], v)):
+            held += weights[v]
+            if held <= share or not weights[v]:
+                out[v] = shard
+                loads[shard] += weights[v]
+    for v in sorted((v for v in weights if v not in out), key=lambda v: (-weights[v], v)):
+        to = loads.index(min(loads))
+        out[v] = to
+        loads[to] += max(weights[v], 1)
+    return out
+
+
+def test_maps_equal_a_plain_dealing(spark):
+    rng = random.Random(4)
+    weights = {v: rng.choice([0, 0, 10, 55, 900]) for v in range(300)}
+    df = spark.createDataFrame([(v, b, 1) for v, b in weights.items()], "vslot int, bytes long, records long")
+    first = edit_slot_map(df, 7).cache()
+    one = {r["vslot"]: r["shard"] for r in first.collect()}
+    assert one == plain_deal(weights, 7)
+    weights = {v: rng.choice([0, 20, 300]) for v in weights}
+    df = spark.createDataFrame([(v, b, 1) for v, b in weights.items()], "vslot int, bytes long, records long")
+    for shards in (8, 5):
+        assert {r["vslot"]: r["shard"] for r in edit_slot_map(df, shards, first).collect()} == plain_deal(weights, shards, one)
