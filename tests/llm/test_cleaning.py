@@ -271,7 +271,9 @@ def test_secrets_of_known_format_are_added(table_of):
     keys = lambda: "AKIA" + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16))
     rows = [(i, f'some words token = "{hexes(40)}" and more ordinary_words behind') for i in range(200)]
     rows += [(200 + i, f"a key {keys()} in the text of ordinary-words") for i in range(200)]
-    rows += [(500, "odd " + hexes(10) + "-" + hexes(22) + " here"), (501, "plain words and thisisaverylongordinaryword"), (502, None)]
+    own = lambda: "k9-" + "".join(rng.choices(string.ascii_letters + string.digits, k=20))
+    rows += [(600 + i, f"some words secret: {own()} and more") for i in range(80)]
+    rows += [(500, f"odd {own()} here"), (501, "plain words and thisisaverylongordinaryword"), (502, None)]
     got = {r["doc_id"]: r for r in find_secrets(table_of(rows).withColumn("word", F.lit(1))).collect()}
     assert all(got[i]["n_assign"] == 1 and got[i]["n_hex"] == 1 for i in range(200)) and all(got[200 + i]["n_access"] == 1 for i in range(200))
     for i, text in rows:
