@@ -47,7 +47,10 @@ def write_reject_text(
     the envelope which brings them to so many bytes; none is split, and a batch's files are full but for the last.
     """
     lines = reject_envelope(reject_table)
-    if max_bytes_per_file:
+    one_file = max_bytes_per_file and (lines.agg(F.sum(F.octet_length("value") + 1)).head()[0] or 0) <= max_bytes_per_file
+    if one_file:
+        writer = lines.coalesce(1).write
+    elif max_bytes_per_file:
         dealt = roll_by_bytes(lines, max_bytes_per_file).repartition(FILE).sortWithinPartitions(FILE, "place").drop("place")
         writer = dealt.write.partitionBy(FILE)
     else:
