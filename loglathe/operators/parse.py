@@ -28,6 +28,7 @@ OK, BLANK, TOO_LONG, NO_MATCH, BAD_JSON = "OK", "BLANK", "TOO_LONG", "NO_MATCH",
 _MARK, _FENCE = "\u0001", "\u0002"
 _PARTS = "__parts"
 _MARKS = "__mark"
+_CUT = "__cut"
 _JSON = "__json"
 _LOG_TYPE = re.compile(r"[a-zA-Z0-9_-]{1,50}")
 
@@ -45,27 +46,43 @@ def _rewritten(
     """A matching line rewritten to its groups, each behind a mark; any other line as it is.
 
     The pattern may match anywhere in the line, and it is matched once however many fields it has.  Lines without the fixed
-    ``parts`` that every match has are not tried, and long ones are cut along the ``skeleton`` where that leaves no choice.
+    ``parts`` that every match has are not tried, and long ones that were cut along the ``skeleton`` are taken as they came out of that.
     """
     search = F.lit(f"^(?s:.*?)(?:{pattern.regex})(?s:.*)$")
     layout = F.lit("".join(f"{_MARK}${g}" for c in pattern.captures for g in c.groups))
     own_layout = F.replace(layout, F.lit(_MARK), mark)
     found = F.regexp_replace(line, search, F.when(mark == _MARK, layout).otherwise(own_layout))
     if skeleton is not None:
-        whole = (F.length(line) <= LONG_LINE) | skeleton.ambiguous(line)
-        found = F.when(whole, found).otherwise(skeleton.rewritten(line, mark, _MARK))
+        found = F.coalesce(F.col(_CUT), found)
     for part in parts:
         found = F.when(F.contains(line, F.lit(part)), found).otherwise(line)
     return found
 
 
-def _with_parts(df: DataFrame, line: Column, split: Callable[[Column], Column], max_length: int | None) -> DataFrame:
+def _cut(line: Column, skeleton: Skeleton) -> Column:
+    """A long line rewritten along the skeleton; null if the whole pattern has to decide.
+
+    It is put into a lambda, which Spark doesn't compile into the code that all lines run through: few lines need it, and it is long.
+    """
+    return F.transform(F.array(line), lambda x: F.when(~skeleton.ambiguous(x), skeleton.rewritten(x, _own_mark(x), _MARK)))[0]
+
+
+def _with_parts(
+    df: DataFrame, line: Column, split: Callable[[Column], Column], max_length: int | None, skeletons: Sequence[tuple[Column, Skeleton]] = ()
+) -> DataFrame:
     """Add the parts column: ``['', group 1, .., group N]`` on a match and a one-element array on a miss.
 
-    It is null for blank and oversize lines, which never reach the regex.
+    It is null for blank and oversize lines, which never reach the regex.  Long lines are cut beforehand, by the skeleton whose condition
+    holds.
     """
-    parts = F.when(~is_blank(line) & ~is_oversize(line, max_length), split(F.col(_MARKS)))
-    return _evaluate_once(df.withColumn(_MARKS, _own_mark(line)), parts, _PARTS).drop(_MARKS)
+    usable = ~is_blank(line) & ~is_oversize(line, max_length)
+    rows = df.withColumn(_MARKS, _own_mark(line))
+    if skeletons:
+        cut = F.lit(None).cast("string")
+        for condition, skeleton in skeletons:
+            cut = F.when((F.octet_length(line) > LONG_LINE) & usable & condition, _cut(line, skeleton)).otherwise(cut)
+        rows = rows.withColumn(_CUT, cut)
+    return _evaluate_once(rows, F.when(usable, split(F.col(_MARKS))), _PARTS).drop(_MARKS, _CUT)
 
 
 def _regex_parts(
@@ -160,7 +177,7 @@ def grok(
     compiled = compile_pattern(pattern, dict(custom or {}))
     line, found = F.col(col), F.col(_PARTS)
     return (
-        _with_parts(df, line, lambda mark: _regex_parts(line, compiled, mark, parts, skeleton), max_length)
+        _with_parts(df, line, lambda mark: _regex_parts(line, compiled, mark, parts, skeleton), max_length, [(F.lit(True), skeleton)] if skeleton else [])
         .withColumns({"status": _status(line, found, compiled), "fields": _fields_struct(compiled)})
         .drop(_PARTS)
     )
@@ -253,7 +270,7 @@ def parse_multi_format(
     )
     present = F.map_filter(pairs, lambda _, v: v.isNotNull())
     return (
-        _with_parts(df, line, split, max_length)
+        _with_parts(df, line, split, max_length, [(kind == name, s) for name, (_, _, s) in regexes.items() if s is not None])
         .withColumns({"status": status, "fields": present})
         .drop(_PARTS)
     )
