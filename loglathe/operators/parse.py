@@ -46,25 +46,24 @@ def _rewritten(
     """A matching line rewritten to its groups, each behind a mark; any other line as it is.
 
     The pattern may match anywhere in the line, and it is matched once however many fields it has.  Lines without the fixed
-    ``parts`` that every match has are not tried, and long ones that were cut along the ``skeleton`` are taken as they came out of that.
+    ``parts`` that every match has are not tried, and long ones were cut along the ``skeleton`` before.
     """
     search = F.lit(f"^(?s:.*?)(?:{pattern.regex})(?s:.*)$")
     layout = F.lit("".join(f"{_MARK}${g}" for c in pattern.captures for g in c.groups))
     own_layout = F.replace(layout, F.lit(_MARK), mark)
-    found = F.regexp_replace(line, search, F.when(mark == _MARK, layout).otherwise(own_layout))
-    if skeleton is not None:
-        found = F.coalesce(F.col(_CUT), found)
+    subject = line if skeleton is None else F.coalesce(F.col(_CUT), line)
+    found = F.regexp_replace(subject, search, F.when(mark == _MARK, layout).otherwise(own_layout))
     for part in parts:
         found = F.when(F.contains(line, F.lit(part)), found).otherwise(line)
     return found
 
 
 def _cut(line: Column, skeleton: Skeleton) -> Column:
-    """A long line rewritten along the skeleton; null if the whole pattern has to decide.
+    """A long line cut along the skeleton; null if the whole of it has to be tried.
 
-    It is put into a lambda, which Spark doesn't compile into the code that all lines run through: few lines need it, and it is long.
+    The work is put into a lambda, which Spark doesn't compile into the code that all lines run through: few lines need it, and it is long.
     """
-    return F.transform(F.array(line), lambda x: F.when(~skeleton.ambiguous(x), skeleton.rewritten(x, _own_mark(x), _MARK)))[0]
+    return F.transform(F.array(line), skeleton.cut)[0]
 
 
 def _with_parts(

@@ -3,7 +3,7 @@
 A pattern that may match anywhere is tried at every character of a line, and what stands before the part that tells the format apart, like the host of
 an access line, is read again from each of them.  In a long line of the right characters that takes time by the square of its length.  Here the part
 itself, the anchor, is looked for first; what is left of it is cut into the words the pattern wants, from right to left; what is right of it is
-matched once, from its beginning; and each piece is matched alone.
+matched once, from its beginning; and each piece is matched alone. Where all fit, the line is given to the pattern from the match's first character on.
 
 The cut is the only one possible if the line holds the anchor once, and no field on its left may hold blanks.  Otherwise the whole pattern decides.
 """
@@ -53,22 +53,23 @@ class Skeleton:
         zone = compile_pattern("%{IPV6:x}").regex.removesuffix("(?:%.+)?)")
         return (self.count(line) > 1) | (F.contains(line, F.lit("%")) & line.rlike(zone + ")%"))
 
-    def rewritten(self, line: Column, mark: Column, marked: str) -> Column:
-        """The groups of the line, each behind ``mark``, or the line as it is; ``marked`` is how a layout writes the mark."""
+    def cut(self, line: Column) -> Column:
+        """The line from where its match begins, ``''`` if it has none, and null if the whole pattern has to decide.
+
+        The pattern then matches at the first character of what is left, so it isn't tried at any other.
+        """
         at = F.regexp_instr(line, F.lit(compile_pattern(self.anchor).regex))
         left, right = F.substring(line, F.lit(1), at - 1), F.substring(line, at, F.length(line))
         n = len(self.words) + 1
         pieces = F.split(F.substring_index(left, " ", -(n + 1)), " ", -1)
         ours = [F.get(pieces, F.lit(i)) for i in range(n + 1)]
         host = F.regexp_extract(F.concat(_host_end(ours[0]), F.lit(" ")), f"^(?s:.*?)({compile_pattern(self.host).regex}) $", 1)
-        good = (F.size(pieces) == n + 1) & (ours[n] == "") & (host != "")
+        good = (self.count(line) == 1) & (F.size(pieces) == n + 1) & (ours[n] == "")
         for word, template in zip(ours[1:n], self.words, strict=True):
             good &= word.rlike(f"^(?:{compile_pattern(template).regex})\\z")
-        layout = F.lit("".join(f"{marked}${g}" for c in self.right.captures for g in c.groups))
-        rest = F.regexp_replace(right, F.lit(f"^(?:{self.right.regex})(?s:.*)$"), F.when(mark == marked, layout).otherwise(F.replace(layout, F.lit(marked), mark)))
-        good &= F.startswith(rest, mark)
-        found = F.concat(*[x for w in (host, *ours[1:n]) for x in (mark, w)], rest)
-        return F.when(F.coalesce((self.count(line) == 1) & good, F.lit(False)), found).otherwise(line)
+        good &= right.rlike(f"^(?:{self.right.regex})") & (host != "")
+        found = F.when(F.coalesce(good, F.lit(False)), F.concat_ws(" ", host, *ours[1:n], right)).otherwise("")
+        return F.when(~self.ambiguous(line), found)
 
 
 def _host_end(word: Column) -> Column:
