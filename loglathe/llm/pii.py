@@ -1,13 +1,14 @@
 """Personal data: patterns with checks, and further spans chosen by boosted trees.
 
 Generators with high recall propose spans, which may overlap: anything around an ``@`` or a spelled one, runs of digits with
-separators, dotted quads. Each has features of its format and of the words around it. Trees learn from a bounded sample of
-examples. Good ones are strict spans rewritten so that the strict patterns miss them, as people hide or vary them, each in its
+separators, dotted quads. Each has features of its format and of the words around it. Trees learn from the examples of all
+texts. Good ones are strict spans rewritten so that the strict patterns miss them, as people hide or vary them, each in its
 own surroundings. Bad ones are the same with a broken checksum, range or domain, and proposals that are plainly something else.
 What is neither is not learned from, so nothing that could be added is taught as wrong. A threshold for each kind, set on
 held-out examples for a wanted precision, selects what is redacted beyond the strict matches. Strict matches always stay.
 
-Texts are read once: a narrow table keeps the strict spans and the proposals of each row, and the model works on that.
+Texts are read once: a narrow table keeps the strict spans and the proposals of each row, and the model works on that. Equal examples are
+counted, and so are those of equal bins; the trees are grown from sums over these counts.
 """
 
 from __future__ import annotations
@@ -21,14 +22,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglathe.llm.common import bounded_sample, map_arrow, query, small_batches, stored, table
+from loglathe.llm.common import binary_array, map_arrow, query, small_batches, stored, table
 from loglathe.llm.spans import Taken
-from loglathe.llm.trees import Boosted, calibrated_threshold
+from loglathe.llm.trees import Boosted, bins_of, threshold_of
 
 KINDS = ("email", "ip", "card", "phone")
-#: examples that the trees are fitted and calibrated on, and the part that calibrates
-SAMPLE, CALIBRATE = 20_000, 0.3
+#: the part of the examples that calibrates, in hundredths, and the fewest examples to learn from
+CALIBRATE, LEAST = 30, 20
 PRECISION = 0.98
+#: held-out examples are counted by logit in steps of this part of one
+STEPS = 1024
 
 # fixed patterns of the contract; runs are taken possessively, from where they begin
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -252,20 +255,58 @@ def scan(docs: DataFrame) -> DataFrame:
     return stored(map_arrow(rows, run, f"doc_id {kind}, strict array<{_SPAN}>, proposed array<{_PROPOSED}>, taught array<{_TAUGHT}>"), "spans")
 
 
+def lessons_of(scanned: DataFrame) -> DataFrame:
+    """``held, label, x, n``: all examples, equal ones counted, and whether they calibrate, by the hash of their document and place in it."""
+    rows = scanned.select("doc_id", F.xxhash64("strict").alias("row"), F.posexplode("taught").alias("place", "t"))
+    held = F.pmod(F.xxhash64("doc_id", "row", "place"), F.lit(100)) < CALIBRATE
+    rows = rows.select(held.alias("held"), "t.label", "t.x")
+    return stored(rows.groupBy("held", "label", "x").agg(F.count(F.lit(1)).alias("n")), "lessons")
+
+
 def fit(scanned: DataFrame) -> tuple[Boosted, dict[str, float]] | None:
-    """Trees and a threshold for each kind from a bounded sample, the examples of least hash of their document and place in it."""
-    rows = scanned.select("doc_id", F.xxhash64("strict").alias("row"), "taught")
-    lessons = rows.select("doc_id", "row", F.posexplode("taught").alias("place", "t")).select("doc_id", "row", "place", "t.label", "t.x")
-    # equal rows of one id teach once, so that no value is that of a part of all rows
-    rows = bounded_sample(lessons.dropDuplicates(["doc_id", "row", "place"]), F.struct("doc_id", "row", "place"), SAMPLE)
-    labels = np.array([r["label"] for r in rows], float)
-    cut = int(len(rows) * (1 - CALIBRATE))
-    if len(rows) < 20 or not 0 < labels[:cut].sum() < cut:
+    """Trees and a threshold for each kind from all examples."""
+    lessons = lessons_of(scanned)
+    learned = lessons.where("not held")
+    total, good = learned.agg(F.sum("n"), F.sum(F.col("n") * F.col("label"))).first()
+    everything = lessons.agg(F.sum("n")).first()[0]
+    if (everything or 0) < LEAST or not 0 < (good or 0) < total:
         return None
-    x = np.array([r["x"] for r in rows])
-    model = Boosted().fit(x[:cut], labels[:cut])
-    scores, held, kinds = model.probability(x[cut:]), labels[cut:], x[cut:, 0]
-    return model, {k: calibrated_threshold(scores[kinds == i], held[kinds == i], PRECISION) for i, k in enumerate(KINDS)}
+    # a feature is a small number or a ratio of two, since proposals have bounds: its values are few
+    counts = learned.select("n", F.posexplode("x").alias("at", "value")).groupBy("at", "value").agg(F.sum("n").alias("n")).orderBy("at", "value").toArrow()
+    at, value, n = (counts[c].to_numpy() for c in ("at", "value", "n"))
+    model = Boosted()
+    model.prepare([(value[at == j], n[at == j]) for j in range(at.max() + 1)], good / total)
+    rows = _in_bins(lessons, model)
+    model.fit_rows(rows.where("not held"))
+    return model, _thresholds(rows.where("held"), model)
+
+
+def _in_bins(lessons: DataFrame, model: Boosted) -> DataFrame:
+    """``held, kind, label, bins, n``: examples whose features fall into the same bins are alike to the trees."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x = np.array(batch["x"].to_pylist())
+        bins = model.binned(x).astype(np.uint8)
+        columns = [batch["held"], pa.array(x[:, 0].astype(np.int32)), batch["label"], binary_array([row.tobytes() for row in bins]), batch["n"]]
+        return pa.record_batch(columns, names=["held", "kind", "label", "bins", "n"])
+
+    alike = map_arrow(lessons, run, "held boolean, kind int, label int, bins binary, n long")
+    return stored(alike.groupBy("held", "kind", "label", "bins").agg(F.sum("n").alias("n")), "lessons")
+
+
+def _thresholds(held: DataFrame, model: Boosted) -> dict[str, float]:
+    """The threshold of each kind from all held-out examples, counted in small steps of the logit."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        logit = model.logit(bins_of(batch["bins"].to_pylist(), len(model.edges)))
+        columns = [batch["kind"], pa.array(np.floor(logit * STEPS).astype(np.int64)), pa.array(1 / (1 + np.exp(-logit))), batch["label"], batch["n"]]
+        return pa.record_batch(columns, names=["kind", "step", "score", "label", "n"])
+
+    scored = map_arrow(held, run, "kind int, step long, score double, label int, n long")
+    n, score = F.col("n"), F.col("score")
+    steps = scored.groupBy("kind", "step").agg(F.min(score).alias("low"), F.max(score).alias("high"), F.sum(n * F.col("label")).alias("good"), F.sum(n).alias("n")).toArrow()
+    kind, *columns = (steps[c].to_numpy() for c in ("kind", "low", "high", "good", "n"))
+    return {k: threshold_of(*(c[kind == i] for c in columns), PRECISION) for i, k in enumerate(KINDS)}
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:
