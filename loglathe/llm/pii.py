@@ -257,7 +257,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def lessons_of(scanned: DataFrame) -> DataFrame:
     """``held, label, x, n``: all examples, equal ones counted, and whether they calibrate, by the hash of their document and place in it."""
-    rows = scanned.select("doc_id", F.xxhash64("strict").alias("row"), F.posexplode("taught").alias("place", "t"))
+    # the hash is made once a row, before its examples are dealt out
+    rows = scanned.select("doc_id", F.xxhash64("strict").alias("row"), "taught").select("doc_id", "row", F.posexplode("taught").alias("place", "t"))
     held = F.pmod(F.xxhash64("doc_id", "row", "place"), F.lit(100)) < CALIBRATE
     rows = rows.select(held.alias("held"), "t.label", "t.x")
     return stored(rows.groupBy("held", "label", "x").agg(F.count(F.lit(1)).alias("n")), "lessons")
