@@ -4,6 +4,10 @@ Credentials are random in most places, and a tree of their characters would have
 character of its own only where nearly all examples that come to a state have it, as in a fixed prefix; else it goes on by the smallest kind
 of characters that holds those seen there, of which each has the same probability.  A fixed format then is a chain, and its length is
 learned, since states near the end differ from those before them.
+
+A tree is grown from counts: how many of the examples that come to a state have which character at which place behind it.  As long as they all go the
+same way, these counts give state after state; where some go another way, those of the two parts are asked for.  So whoever holds the examples counts them
+a few times, and neither counts nor states follow their number.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ from __future__ import annotations
 import math
 import string
 from collections import Counter, deque
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 
@@ -133,39 +138,81 @@ CLASSES = {
 }
 _SETS = {k: frozenset(v) for k, v in CLASSES.items()}
 _BITS = {k: math.log2(len(v)) for k, v in CLASSES.items()}
-#: a character stands for itself where it is this part of at least so many examples
-OWN_SHARE, OWN_COUNT = 0.8, 8
+#: a character stands for itself where it is this part of at least so many examples, and so large a part of all examples of the tree
+OWN_SHARE, OWN_COUNT, OWN_PART = 0.8, 8, 1 / 200
+#: a tree has no deeper states; longer examples teach by what they have up to there
+DEEPEST = 256
 #: bits that a step or an end costs which no example took
 UNSEEN = 32.0
 
+#: by state and place the number of examples with a character there, or, for ``""``, that end there
+Counts = Counter[tuple[int, int, str]]
+
 
 class FormatAutomaton(Automaton):
     """An automaton of whole characters and kinds of them; symbols are ``=c`` for a character and ``#k`` for a kind."""
 
-    def __init__(self, examples: list[str], alpha: float = 0.01) -> None:
+    def __init__(self, examples: list[str] | None = None, alpha: float = 0.01) -> None:
         self.states = [State()]
-        waiting = deque([(0, [(e, 0) for e in examples], "")])
-        while waiting:
-            at, here, before = waiting.popleft()
-            state = self.states[at]
-            state.visits = len(here)
-            going = [(e, i) for e, i in here if i < len(e)]
-            state.ends = len(here) - len(going)
-            by: dict[str, list[tuple[str, int]]] = {}
-            for e, i in going:
-                by.setdefault(e[i], []).append((e, i + 1))
-            most = max(by, key=lambda c: (len(by[c]), c), default="")
-            own = {most} if going and len(by[most]) >= max(OWN_COUNT, OWN_SHARE * len(going)) else set()
-            rest = {c for c in by if c not in own}
-            kind = _kind(rest, before if len(going) < OWN_COUNT * 4 else "")
-            groups = {f"={c}": by[c] for c in sorted(own)}
-            if rest:
-                groups[f"#{kind}"] = [x for c in sorted(rest) for x in by[c]]
-            for symbol, members in groups.items():
-                self.states.append(State())
-                state.to[symbol] = len(self.states) - 1
-                state.taken[symbol] = len(members)
-                waiting.append((len(self.states) - 1, members, kind if symbol[0] == "#" else before))
+        #: states whose examples are still to be counted, with their depth and the kind before them
+        self.open: dict[int, tuple[int, str]] = {0: (0, "")}
+        self.total = 0
+        if examples is not None:
+            while self.open:
+                self.grow(self.count(examples))
+            self.finish(alpha)
+
+    def count(self, examples: Iterable[str]) -> Counts:
+        """Characters and ends behind the open states that the examples come to."""
+        out: Counts = Counter()
+        for e in examples:
+            at, i = 0, 0
+            while at not in self.open and i < len(e):
+                to = self.states[at].to
+                at, i = to.get(f"={e[i]}", -1) if f"={e[i]}" in to else next((t for s, t in to.items() if s[0] == "#"), -1), i + 1
+                if at < 0:
+                    break
+            if at in self.open:
+                out.update((at, k, e[k]) for k in range(i, min(len(e), DEEPEST)))
+                out[at, min(len(e), DEEPEST + 1), ""] += 1
+        return out
+
+    def grow(self, counts: Counts) -> None:
+        """States behind the open ones, up to where examples part, from counts of all examples; these states are open then."""
+        at_place: dict[tuple[int, int], dict[str, int]] = {}
+        for (state, place, c), n in counts.items():
+            at_place.setdefault((state, place), {})[c] = n
+        arrived: Counter = Counter()
+        for (state, _, c), n in counts.items():
+            arrived[state] += n if c == "" else 0
+        self.total = self.total or arrived[0]
+        waiting, self.open = self.open, {}
+        for first, (depth, before) in waiting.items():
+            at, here = first, arrived[first]
+            while True:
+                by = dict(at_place.get((first, depth), {}))
+                state = self.states[at]
+                state.visits, state.ends = here, by.pop("", 0)
+                here -= state.ends
+                if not by:
+                    break
+                most = max(by, key=lambda c: (by[c], c))
+                own = {most} if by[most] >= max(OWN_COUNT, OWN_SHARE * here, OWN_PART * self.total) else set()
+                rest = {c for c in by if c not in own}
+                kind = _kind(rest, before if here < OWN_COUNT * 4 else "") if rest else ""
+                ways = [(f"={c}", by[c], before) for c in sorted(own)] + ([(f"#{kind}", here - sum(by[c] for c in own), kind)] if rest else [])
+                depth += 1
+                for symbol, n, behind in ways:
+                    self.states.append(State())
+                    state.to[symbol] = len(self.states) - 1
+                    state.taken[symbol] = n
+                    if len(ways) == 2:
+                        self.open[len(self.states) - 1] = depth, behind
+                if len(ways) == 2:
+                    break
+                at, before = len(self.states) - 1, ways[0][2]
+
+    def finish(self, alpha: float = 0.01) -> None:
         self._merge(alpha)
         self._arcs = [_arcs(s) for s in self.states]
 

@@ -1,10 +1,15 @@
 """Models that learn from every row, however many there are."""
 
+import hashlib
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from loglathe.llm import pii, trees
+from loglathe.llm.automata import FormatAutomaton
+from loglathe.llm.secrets_scan import infer_grammar, scan
 from loglathe.llm.trees import Boosted
 
 
@@ -37,3 +42,24 @@ def test_trees_grown_by_tasks_equal_those_in_memory(spark, monkeypatch):
     for one, other in zip(local.trees, dealt.trees, strict=True):
         assert all(np.array_equal(a, b) for a, b in zip(one, other, strict=True))
     assert np.mean((local.probability(x) > 0.5) == y) > 0.95
+
+
+def test_secrets_are_learned_from_all_values(table_of):
+    rows = [(i, f"plain words of text {hashlib.md5(str(i).encode()).hexdigest()} behind") for i in range(4000)]
+    grammar = infer_grammar(scan(table_of(rows)))
+    assert grammar.automata["hex", 0].states[0].visits > 2500
+    assert sum(m.visits for m in grammar.automata["hex", 0].states) > 33 * 2500
+
+
+def test_a_tree_from_counts_of_parts_equals_that_of_all():
+    rng = random.Random(8)
+    values = ["".join(rng.choices("abc123", k=rng.randrange(6, 30))) for _ in range(400)] + [f"key-{rng.randrange(10**6)}" for _ in range(400)] + ["x" * 400]
+    whole, parts = FormatAutomaton(values), FormatAutomaton()
+    while parts.open:
+        counts = parts.count(values[::3])
+        counts.update(parts.count(values[1::3]))
+        counts.update(parts.count(values[2::3]))
+        parts.grow(counts)
+    parts.finish()
+    assert parts.total == 801 and [s.taken for s in whole.states] == [s.taken for s in parts.states]
+    assert all(whole.bits(v) == parts.bits(v) for v in values)
