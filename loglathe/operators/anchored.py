@@ -2,8 +2,11 @@
 
 The window of an operation starts at its first error and takes all errors up to a minute later; the first one after that starts the next
 window.  Where a window starts depends on all windows before it, but only errors whose forerunner is over a minute old certainly start one,
-and from these the others are reached by following pointers, each from an error to the first one over a minute later.  Pointers double
-in each round, so a storm of n minutes takes about log n rounds.
+and from these the others are reached by following pointers, each from an error to the first one over a minute later.
+
+Pointers are composed over blocks of time that double.  A window that comes from an earlier block starts in the first minute of its block, or with the
+first error after that, so with each doubling only half as many errors need a pointer out of their block: a storm of n minutes takes about log n rounds,
+and all rounds together take as much work as the first.  Then the starts are found from the longest blocks down, each round adding those inside.
 
 All of it is done on counts per operation and millisecond, of which a minute has at most 60,000, however many errors there are.
 """
@@ -17,6 +20,8 @@ from loglathe.operators.quality import ERRORS_KEPT_PER_MINUTE
 from loglathe.session import scratch_dir
 
 WINDOW_MS = 60_000
+#: windows in a stretch of time that one task looks through
+STRETCH = 4
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -34,53 +39,68 @@ def _bucket(ms: Column, window_ms: int) -> Column:
 
 
 def pointers(moments: DataFrame, window_ms: int = WINDOW_MS) -> DataFrame:
-    """``op, ms, next, certain`` for each of ``moments`` (op, ms): the first moment over a window later, and whether the one before it is over a
-    window earlier.
+    """``op, ms, prior, next, certain`` for each of ``moments`` (op, ms): the moment before it, the first one over a window later, and whether the
+    one before it is over a window earlier.
 
-    Both are looked for in the moment's neighbour buckets of one window's length, and beyond them by the first and last moments of buckets.
+    Both are looked for in the moment's stretch of a few windows.  A stretch also gets the moments of the next one's first window, and one more on
+    each side, from a table of one row for each stretch.
     """
-    bucket = _bucket(F.col("ms"), window_ms)
-    probes = F.array(
-        F.struct(F.col("ms").alias("at"), F.lit(0).alias("kind")),
-        F.struct((F.col("ms") + window_ms + 1).alias("at"), F.lit(1).alias("kind")),
-        F.struct((F.col("ms") - 1).alias("at"), F.lit(2).alias("kind")),
-    )
-    rows = moments.select("op", "ms", F.inline(probes)).withColumn("bucket", _bucket(F.col("at"), window_ms))
-    here = F.when(F.col("kind") == 0, F.col("at"))
-    up = Window.partitionBy("op", "bucket").orderBy("at").rangeBetween(0, Window.unboundedFollowing)
-    down = Window.partitionBy("op", "bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
-    near = rows.withColumn("later", F.min(here).over(up)).withColumn("earlier", F.max(here).over(down))
-    # one row for each bucket of an operation
-    buckets = rows.groupBy("op", "bucket").agg(F.min(here).alias("first"), F.max(here).alias("last"))
-    after = Window.partitionBy("op").orderBy("bucket").rowsBetween(1, Window.unboundedFollowing)
-    before = Window.partitionBy("op").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    ends = buckets.select(
-        F.col("op").alias("o"),
-        F.col("bucket").alias("b"),
-        F.first("first", ignorenulls=True).over(after).alias("first_after"),
-        F.last("last", ignorenulls=True).over(before).alias("last_before"),
-    )
-    found = near.where("kind > 0").join(ends, F.col("op").eqNullSafe(F.col("o")) & (F.col("bucket") == F.col("b")))
-    later = F.max(F.when(F.col("kind") == 1, F.coalesce("later", "first_after")))
-    earlier = F.max(F.when(F.col("kind") == 2, F.coalesce("earlier", "last_before")))
-    both = found.groupBy("op", "ms").agg(later.alias("next"), earlier.alias("prior"))
-    return both.select("op", "ms", "next", F.coalesce(F.col("ms") - F.col("prior") > window_ms, F.lit(True)).alias("certain"))
+    length = STRETCH * window_ms
+    rows = moments.select("op", "ms", F.floor(F.col("ms") / length).alias("stretch"))
+    beyond = F.when(F.col("ms") - F.col("stretch") * length > window_ms, F.col("ms"))
+    ends = rows.groupBy("op", "stretch").agg(F.min("ms").alias("first"), F.max("ms").alias("last"), F.min(beyond).alias("beyond"))
+    following = Window.partitionBy("op").orderBy("stretch")
+    lead = lambda name, n=1: F.lead(name, n).over(following)
+    later = F.when(lead("stretch") == F.col("stretch") + 1, F.coalesce(lead("beyond"), lead("first", 2))).otherwise(lead("first"))
+    sides = ends.select("op", "stretch", later.alias("later"), F.lag("last").over(following).alias("earlier"))
+    sides = sides.select("op", "stretch", F.explode(F.array("later", "earlier")).alias("ms")).where("ms is not null")
+    ahead = rows.where(F.col("ms") - F.col("stretch") * length <= window_ms).select("op", F.col("stretch") - 1, "ms")
+    there = rows.select("op", "stretch", "ms", F.lit(True).alias("own"))
+    for more in (ahead, sides):
+        there = there.unionAll(more.withColumn("own", F.lit(False)))
+    # from the latest one back, where frames that begin with the first row only grow
+    back = Window.partitionBy("op", "stretch").orderBy(F.col("back"))
+    found = there.withColumn("back", -F.col("ms")).select(
+        "op", "ms", "own",
+        F.lead("ms").over(back).alias("prior"),
+        F.min("ms").over(back.rangeBetween(Window.unboundedPreceding, -(window_ms + 1))).alias("next"),
+    )
+    return found.where("own").select("op", "ms", "prior", "next", F.coalesce(F.col("ms") - F.col("prior") > window_ms, F.lit(True)).alias("certain"))
+
+
+def _of(df: DataFrame, name: str) -> DataFrame:
+    """``o, m`` and the column ``name``, to be joined with other moments."""
+    return df.select(F.col("op").alias("o"), F.col("ms").alias("m"), F.col(name).alias("x"))
 
 
 def anchors(moments: DataFrame, window_ms: int = WINDOW_MS) -> DataFrame:
     """``op, anchor`` for each window of ``moments`` (op, ms), which are distinct."""
     links = _stored(pointers(moments, window_ms), "pointers")
-    reached = _stored(links.where("certain").select("op", F.col("ms").alias("anchor")), "anchors")
-    jumps = links.select("op", "ms", "next").where("next is not null")
-    while True:
-        hop = jumps.select(F.col("op").alias("o"), "ms", "next")
-        ahead = reached.join(hop, F.col("op").eqNullSafe(F.col("o")) & (F.col("anchor") == F.col("ms"))).select("op", F.col("next").alias("anchor"))
-        new = _stored(ahead.join(reached.select(F.col("op").alias("o"), F.col("anchor").alias("a")), F.col("op").eqNullSafe(F.col("o")) & (F.col("anchor") == F.col("a")), "left_anti").distinct(), "reached")
-        if new.isEmpty():
-            return reached
-        reached = _stored(reached.unionAll(new), "anchors")
-        further = jumps.select(F.col("op").alias("o"), F.col("ms").alias("m"), F.col("next").alias("n"))
-        jumps = _stored(jumps.join(further, F.col("op").eqNullSafe(F.col("o")) & (F.col("next") == F.col("m"))).select("op", "ms", F.col("n").alias("next")), "jumps")
+    certain = links.where("certain").select("op", F.col("ms").alias("anchor"))
+    origin = links.agg(F.min("ms")).first()[0]
+    same = F.col("op").eqNullSafe(F.col("o"))
+    sure = links.where("certain").select(F.col("op").alias("o"), F.col("ms").alias("m"))
+    # what certainly starts a window need not be pointed at
+    level = _stored(links.where("next is not null").select("op", "ms", "prior", "certain", F.col("next").alias("exit")).join(sure, same & (F.col("exit") == F.col("m")), "left_anti"), "exits")
+    levels, length = [], window_ms
+    while not level.isEmpty():
+        length *= 2
+        block = lambda at, length=length: F.floor((F.col(at) - origin) / length)
+        stays = block("ms") == block("exit")
+        levels.append((level, stays))
+        entry = F.col("prior") < origin + block("ms") * length + window_ms
+        kept = level.where(F.col("certain") | F.col("prior").isNull() | entry)
+        on = kept.where(stays).join(_of(level, "exit"), same & (F.col("exit") == F.col("m"))).select("op", "ms", "prior", "certain", F.col("x").alias("exit"))
+        level = _stored(kept.where(~stays).unionAll(on), "exits")
+    found = None
+    for level, stays in reversed(levels):
+        inside = level.where(stays)
+        new = inside.where("certain").select("op", F.col("exit").alias("anchor"))
+        if found is not None:
+            there = found.select(F.col("op").alias("o"), F.col("anchor").alias("m"))
+            new = new.unionAll(inside.where("not certain").join(there, same & (F.col("ms") == F.col("m")), "left_semi").select("op", "exit")).unionAll(found)
+        found = _stored(new.distinct(), "anchors")
+    return certain if found is None else certain.unionAll(found)
 
 
 def _windows(found: DataFrame, window_ms: int) -> DataFrame:
