@@ -217,12 +217,13 @@ def fit_quality(unlabelled: DataFrame, good: DataFrame) -> QualityModel | None:
 def trusted(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """``shape`` of the rows (doc_id, shape) whose labels all say quality 1.
 
-    The few bytes of a label go to several places, so that rows of one very common id don't meet in one task.
+    The few bytes of a label go to several places, so that rows of one very common id don't meet in one task.  Both sides are dealt out and sorted:
+    Spark would take the labels for as small as their compressed file, and build all of them SALTS times over in the driver to send them round.
     """
     ids = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.coalesce("quality", F.lit(0))).alias("quality")).where("quality = 1")
     spread = ids.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     salted = rows.where("doc_id is not null").select("doc_id", "shape", F.pmod(F.xxhash64("shape"), F.lit(SALTS)).cast("int").alias("salt"))
-    return salted.join(spread, ["doc_id", "salt"], "left_semi").select("shape")
+    return salted.join(spread.hint("merge"), ["doc_id", "salt"], "left_semi").select("shape")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, train_rule: Column) -> DataFrame:

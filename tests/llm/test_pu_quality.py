@@ -148,6 +148,22 @@ def test_labels_of_a_document_must_agree(spark):
     assert pu_quality.trusted(rows, labels).count() == 1
 
 
+def test_labels_never_meet_in_the_driver(spark, folder):
+    """A small file of labels with successive ids opens to many rows; one common id has many documents, another many labels."""
+    n = 30_000
+    ids = F.when(F.col("id") < 500, F.lit(-1)).otherwise(F.col("id"))
+    rows = spark.range(n).select(ids.alias("doc_id"), F.encode(F.col("id").cast("string"), "utf-8").alias("shape"))
+    marks = spark.range(n).select(F.when(F.col("id") < 500, F.lit(-1)).when(F.col("id") > n - 500, F.lit(-2)).otherwise(F.col("id")).alias("doc_id"), (F.col("id") % 3 != 2).cast("int").alias("quality"))
+    marks.where("doc_id <> -1 or quality = 1").coalesce(1).write.parquet(folder + "/labels")
+    labels = spark.read.parquet(folder + "/labels")
+    good = pu_quality.trusted(rows, labels)
+    assert "Broadcast" not in good._jdf.queryExecution().executedPlan().toString()
+    expected = [str(i) for i in range(n) if i < 500 or i <= n - 500 and i % 3 != 2]
+    got = good.select(F.decode("shape", "utf-8").alias("shape"))
+    assert sorted(r["shape"] for r in got.collect()) == sorted(expected)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()  # as it ran
+
+
 def test_tell_apart_and_prior_on_known_scores(spark):
     """All good rows at one figure, unlabelled ones there and at another: the share is a plain ratio."""
     x = np.zeros((2, FEATURES), np.float32)
